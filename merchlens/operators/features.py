@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import scalars as S
-from .sessions import seconds
+from .sessions import micros
 
 
 def _count_type(name: str):
@@ -90,8 +90,8 @@ def affinity_maps(affinity: DataFrame) -> DataFrame:
 
 def days_since_last(users: DataFrame, events: DataFrame) -> DataFrame:
     """Whole days between the user's last event and the newest event of all."""
-    newest = events.agg(F.max("timestamp").alias("t")).select(seconds("t").alias("t")).scalar()
-    days = F.floor((newest - seconds("last_event_ts")) / 86400)
+    newest = events.agg(F.max("timestamp").alias("t")).select(micros("t").alias("t")).scalar()
+    days = F.floor((newest - micros("last_event_ts")) / 86_400_000_000)
     return users.withColumn("days_since_last_event", F.greatest(days, F.lit(0)))
 
 

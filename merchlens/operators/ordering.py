@@ -71,7 +71,7 @@ def quantiles(df: DataFrame, column: str, qs: list[float]) -> DataFrame:
     total = placed.agg(F.sum("n").alias("n")).scalar()
 
     def wanted(q: Column) -> Column:
-        at = q * (total - 1)
+        at = q * (F.col("_total_n") - 1)
         return F.struct(q.alias("q"), at.alias("at"))
 
     targets = F.transform(F.array(*[F.lit(float(q)) for q in qs]), wanted)
@@ -81,7 +81,8 @@ def quantiles(df: DataFrame, column: str, qs: list[float]) -> DataFrame:
         return (low.between(F.col("_first"), F.col("_last"))) | (high.between(F.col("_first"), F.col("_last")))
 
     hits = (
-        ranked.withColumn("_first", first)
+        ranked.withColumn("_total_n", total)
+        .withColumn("_first", first)
         .withColumn("_last", first + F.col("n") - 1)
         .withColumn("t", F.explode(F.filter(targets, covers)))
     )

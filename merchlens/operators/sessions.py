@@ -10,9 +10,9 @@ from ..functions import constants as K
 from ..functions import scalars as S
 
 
-def seconds(ts: str) -> Column:
-    """Event time in seconds, microseconds kept."""
-    return F.unix_micros(F.col(ts).cast("timestamp")) / 1e6
+def micros(ts: Column | str) -> Column:
+    """Event time as whole microseconds; differences of these are exact."""
+    return F.unix_micros(S.col(ts).cast("timestamp"))
 
 
 def pauses(events: DataFrame, block: str = "hour") -> DataFrame:
@@ -27,9 +27,8 @@ def pauses(events: DataFrame, block: str = "hour") -> DataFrame:
         "user_id", "_block", F.lag("_last").over(by_user).alias("_before")
     )
     own = cut.withColumn("_prev", F.lag("timestamp").over(inside)).join(before, ["user_id", "_block"])
-    return own.withColumn("pause_seconds", seconds("timestamp") - F.coalesce(seconds("_prev"), seconds("_before"))).drop(
-        "_block", "_prev", "_before"
-    )
+    pause = micros("timestamp") - micros(F.coalesce("_prev", "_before"))
+    return own.withColumn("pause_seconds", pause / 1e6).drop("_block", "_prev", "_before")
 
 
 def sessionize(events: DataFrame, gap_minutes: int = K.SESSION_GAP_MINUTES, block: str = "hour") -> DataFrame:
@@ -39,13 +38,13 @@ def sessionize(events: DataFrame, gap_minutes: int = K.SESSION_GAP_MINUTES, bloc
     A block summary (one row per user and block) carries the last event time and the session count
     from block to block; the events themselves shuffle once.
     """
-    gap = gap_minutes * 60.0
+    gap = gap_minutes * 60_000_000
     inside = Window.partitionBy("user_id", "_block").orderBy("timestamp", "event_id")
     upto_here = inside.rowsBetween(Window.unboundedPreceding, 0)
     cut = events.withColumn("_block", F.date_trunc(block, "timestamp").cast("timestamp_ntz"))
     paused = cut.withColumn(
-        "_pause", seconds("timestamp") - F.lag(seconds("timestamp")).over(inside)
-    ).withColumn("_starts", (F.coalesce("_pause", F.lit(0.0)) > gap).cast("int"))
+        "_pause", micros("timestamp") - F.lag(micros("timestamp")).over(inside)
+    ).withColumn("_starts", (F.coalesce("_pause", F.lit(0)) > gap).cast("int"))
 
     blocks = paused.groupBy("user_id", "_block").agg(
         F.min("timestamp").alias("_first"), F.max("timestamp").alias("_last"), F.sum("_starts").alias("_inner")
@@ -53,7 +52,7 @@ def sessionize(events: DataFrame, gap_minutes: int = K.SESSION_GAP_MINUTES, bloc
     by_user = Window.partitionBy("user_id").orderBy("_block")
     opening = blocks.withColumn("_prev_last", F.lag("_last").over(by_user)).withColumn(
         "_open",
-        (F.col("_prev_last").isNull() | (seconds("_first") - seconds("_prev_last") > gap)).cast("int"),
+        (F.col("_prev_last").isNull() | (micros("_first") - micros("_prev_last") > gap)).cast("int"),
     )
     carry = opening.select(
         "user_id",
@@ -96,5 +95,5 @@ def session_features(events: DataFrame, session_key: str = "derived_session_id")
         F.count_distinct("product_id").alias("unique_products"),
     )
     return out.withColumn(
-        "duration_seconds", F.greatest(seconds("session_end") - seconds("session_start"), F.lit(0.0))
+        "duration_seconds", F.greatest(micros("session_end") - micros("session_start"), F.lit(0)) / 1e6
     ).withColumn("session_conversion_rate", S.safe_ratio("purchases", "views"))

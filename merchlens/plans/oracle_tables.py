@@ -178,8 +178,8 @@ def filtered_of(enriched: str, k: int = 10) -> str:
 
 def recommended_of(filtered: str, k: int = 10) -> str:
     return f"""
-    SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, product_id) AS rank, product_id,
-      category AS product_category, brand, round(retrieval_score, 4) AS retrieval_score, round(ranking_score, 4) AS ranking_score,
+    SELECT * FROM (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, product_id) AS rank, product_id,
+      category AS product_category, brand, CAST(round(CAST(retrieval_score AS DECIMAL(18, 5)), 4) AS DOUBLE) AS retrieval_score, round(ranking_score, 4) AS ranking_score,
       round(score, 4) AS product_score, category_match = 1 AS category_match,
       CASE WHEN category_match = 1 THEN 'Recommended because it matches the user''s category affinity'
            WHEN ranking_score > retrieval_score THEN 'Recommended because ranking features predict purchase intent'
@@ -187,7 +187,7 @@ def recommended_of(filtered: str, k: int = 10) -> str:
     FROM (SELECT *, 0.52 * ranking_score + 0.28 * coalesce(retrieval_score, 0) + 0.12 * coalesce(margin, 0)
               + 0.08 * CAST(coalesce(inventory_level, 0) > 0 AS INTEGER) AS score
           FROM (SELECT *, {RANK_SCORE} AS ranking_score FROM {filtered}))
-    QUALIFY rank <= {k}"""
+) WHERE rank <= {k}"""
 
 
 def panel_of(sold: str, entities: str, key: str) -> str:

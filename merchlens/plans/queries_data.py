@@ -64,7 +64,7 @@ def _(r: Retail):
     return r.spark.read.text(path).select(parsed.alias("d")).select("d.*")
 
 
-@register("src_4", "product_id found price:4 text_number:4 purchases:i demand_score:4", """
+@register("src_4", "product_id found price:4 text_number:4 purchases:i demand_score:6", """
   SELECT vec_id AS product_id, p.product_id IS NOT NULL AS found, price, TRY_CAST(text_description AS DOUBLE) AS text_number, purchases, demand_score
   FROM embeddings LEFT JOIN t_products p ON p.product_id = vec_id""")
 def _(r: Retail):
@@ -443,10 +443,10 @@ def _(r: Retail):
 
 
 @register("scl_24", "product_id r2:4 r4:6 r5:7",
-          "SELECT product_id, round(price * margin, 2) AS r2, round(margin * rating, 4) AS r4, round(sqrt(price), 5) AS r5 FROM t_catalog")
+          "SELECT product_id, round(sqrt(price) * margin, 2) AS r2, round(margin * sqrt(rating), 4) AS r4, round(sqrt(price), 5) AS r5 FROM t_catalog")
 def _(r: Retail):
     return r.catalog.withColumns({
-        "r2": F.round(F.col("price") * F.col("margin"), 2), "r4": F.round(F.col("margin") * F.col("rating"), 4),
+        "r2": F.round(F.sqrt("price") * F.col("margin"), 2), "r4": F.round(F.col("margin") * F.sqrt("rating"), 4),
         "r5": F.round(F.sqrt("price"), 5)})
 
 

@@ -102,7 +102,7 @@ def _(r: Retail):
     return ranking.business_filter(ranking.enrich(r.candidates(r.clean_table), r.products, r.users), 10)
 
 
-_RECOMMENDED = ("user_id rank:i product_id product_category brand retrieval_score:4 ranking_score:4 product_score:4 category_match "
+_RECOMMENDED = ("user_id rank:i product_id product_category brand retrieval_score:5 ranking_score:4 product_score:4 category_match "
                 "recommendation_reason")
 
 
@@ -299,8 +299,8 @@ def _importance_sql() -> str:
         parts.append(f"SELECT '{f}' AS feature, {loss} AS loss FROM (SELECT purchase_label, {_PROB} AS p FROM (SELECT {swap} FROM paired))")
     donor = ", ".join(f"d.{f} AS d_{f}" for f in _IMPORTANT)
     return f"""
-    WITH numbered AS (SELECT *, row_number() OVER (ORDER BY {hash32('event_id', seed='perm')}, event_id) - 1 AS at, count(*) OVER () AS n FROM t_frame),
-    paired AS (SELECT a.*, {donor} FROM numbered a JOIN numbered d ON a.at = (d.at + d.n // 2) % d.n),
+    WITH numbered AS (SELECT *, row_number() OVER (ORDER BY {hash32('event_id', seed='perm')}, event_id) - 1 AS pos, count(*) OVER () AS n FROM t_frame),
+    paired AS (SELECT a.*, {donor} FROM numbered a JOIN numbered d ON a.pos = (d.pos + d.n // 2) % d.n),
     losses AS ({' UNION ALL '.join(parts)})
     SELECT feature, loss - (SELECT loss FROM losses WHERE feature = 'none') AS importance FROM losses WHERE feature <> 'none'"""
 
@@ -456,8 +456,8 @@ def _(r: Retail):
 
 
 @register("fst_3", "name version entity row_count:i feature_count:i", """
-  SELECT 'user_features' AS name, 'v1' AS version, 'user_id' AS entity, (SELECT count(*) FROM t_users) AS row_count, 22 AS feature_count
-  UNION ALL SELECT 'product_features', 'v1', 'product_id', (SELECT count(*) FROM t_products), 20
+  SELECT 'user_features' AS name, 'v1' AS version, 'user_id' AS entity, (SELECT count(*) FROM t_users) AS row_count, 20 AS feature_count
+  UNION ALL SELECT 'product_features', 'v1', 'product_id', (SELECT count(*) FROM t_products), 22
   UNION ALL SELECT 'inventory_features', 'v1', 'product_id', (SELECT count(*) FROM t_inventory), 12""")
 def _(r: Retail):
     return _store(r).materialize([

@@ -76,7 +76,7 @@ def _(r: Retail):
     return ranking.enrich(r.clean.select("event_id", "user_id", "product_id"), r.products, r.users)
 
 
-@register("jn_10", "user_id product_id rank:i retrieval_score:4 category brand price:4 inventory_level:4", "SELECT * FROM t_enriched")
+@register("jn_10", "user_id product_id rank:i retrieval_score:5 category brand price:4 inventory_level:4", "SELECT * FROM t_enriched")
 def _(r: Retail):
     return ranking.enrich(r.candidates(r.clean_table), r.products, r.users)
 
@@ -249,7 +249,7 @@ def _(r: Retail):
     return kpis.category_performance(r.clean).orderBy(F.desc("revenue"))
 
 
-@register("agg_15_sales", "product_category revenue:2 margin:2 units:2 purchases:i return_rate:6", """
+@register("agg_15_sales", "product_category revenue:4 margin:4 units:2 purchases:i return_rate:6", """
   SELECT product_category, sum(product_price * (1 - discount_percentage)) AS revenue, sum(product_price * (1 - discount_percentage) * margin) AS margin,
     sum(quantity) AS units, count(*) AS purchases, count(*) FILTER (l_returnflag = 'R') / count(*) AS return_rate
   FROM t_sales GROUP BY product_category ORDER BY revenue DESC""")
@@ -311,7 +311,7 @@ def _(r: Retail):
 
 # --- windows -------------------------------------------------------------------------------------
 
-@register("win_1", "event_id pause_seconds:4", """
+@register("win_1", "event_id pause_seconds:6", """
   SELECT event_id, (epoch_us(timestamp) - epoch_us(lag(timestamp) OVER (PARTITION BY user_id ORDER BY timestamp, event_id))) / 1e6 AS pause_seconds FROM t_clean""")
 def _(r: Retail):
     from ..operators import sessions
@@ -427,11 +427,11 @@ def _(r: Retail):
 
 
 @register("top_7", "user_id product_category product_id", f"""
-  WITH ids AS (SELECT category, product_id, row_number() OVER (PARTITION BY category ORDER BY product_id) - 1 AS at,
+  WITH ids AS (SELECT category, product_id, row_number() OVER (PARTITION BY category ORDER BY product_id) - 1 AS pos,
       count(*) OVER (PARTITION BY category) AS n FROM t_catalog),
   best AS (SELECT * FROM t_affinity QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_category) <= 2)
   SELECT user_id, product_category, product_id FROM best JOIN ids ON category = product_category
-  WHERE (at - ({hash32('user_id', 'product_category', seed='42')} % n) + n) % n < least(greatest(3, n // 10), n)""")
+  WHERE (pos - ({hash32('user_id', 'product_category', seed='42')} % n) + n) % n < least(greatest(3, n // 10), n)""")
 def _(r: Retail):
     return sampling.preferred_items(features.category_affinity(features.user_product_cells(r.clean)), r.catalog)
 

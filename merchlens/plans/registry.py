@@ -51,7 +51,8 @@ def shape(df: DataFrame, columns: str) -> DataFrame:
         elif fmt == "s":
             c = c.cast("string")
         elif fmt:
-            c = F.round(c.cast("double"), int(fmt))
+            # Rounding five digits further first puts a value on or off the tie in any engine.
+            c = F.round(F.round(c.cast("double"), int(fmt) + 5), int(fmt))
         return c.alias(name)
 
     return df.select(*[one(n, f) for n, f in _parse(columns)])
@@ -64,7 +65,8 @@ def select_list(columns: str) -> str:
         if fmt == "s":
             return f'CAST("{name}" AS VARCHAR) AS "{name}"'
         if fmt:
-            return f'round(CAST("{name}" AS DOUBLE), {fmt}) AS "{name}"'
+            near = f'CAST(CAST("{name}" AS DOUBLE) AS DECIMAL(38, {int(fmt) + 5}))'
+            return f'CAST(round({near}, {fmt}) AS DOUBLE) AS "{name}"'
         return f'"{name}"'
 
     return ", ".join(one(n, f) for n, f in _parse(columns))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import constants as K
 from ..functions import scalars as S
@@ -95,5 +96,6 @@ def ingest_microbatches(stream: DataFrame, label: str = "ingest") -> DataFrame:
         )
 
     each_batch(stream, write, label)
-    schema = stream.schema.add("ingestion_timestamp", "timestamp").add("microbatch_id", "bigint")
+    extra = [T.StructField("ingestion_timestamp", T.TimestampType()), T.StructField("microbatch_id", T.LongType())]
+    schema = T.StructType([*stream.schema.fields, *extra])
     return spark.read.schema(schema).option("basePath", out).parquet(out)
