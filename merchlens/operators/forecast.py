@@ -90,6 +90,7 @@ def seasonal_naive(panel: DataFrame, key: str = "series_id", days: int = K.HOLDO
 
 def fit_demand_model(frame: DataFrame, kind: str = "gbt", trees: int = 20, seed: int = 42) -> PipelineModel:
     """One global model over all series."""
+    frame = stage(frame.select(*K.FORECAST_NUMERIC, "category", "daily_sales"), "demand-train")
     if kind == "gbt":
         learner = GBTRegressor(labelCol="daily_sales", maxIter=trees, maxDepth=5, stepSize=0.1, seed=seed)
     else:
@@ -104,7 +105,7 @@ def fit_demand_model(frame: DataFrame, kind: str = "gbt", trees: int = 20, seed:
 
 def evaluate_model(panel: DataFrame, key: str = "series_id", days: int = K.HOLDOUT_DAYS, **fit) -> DataFrame:
     """Fit on the past, score on the holdout; lags are filled from the past only."""
-    train, test = holdout(supervised(panel, key, fill="past"), days)
+    train, test = holdout(stage(supervised(panel, key, fill="past"), "demand-frame"), days)
     return errors(fit_demand_model(train, **fit).transform(test))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import scalars as S
+from ..session import stage
 from .ordering import number_rows
 
 Scorer = Callable[[Column], Column]
@@ -227,7 +228,8 @@ def business_impact(chosen: DataFrame) -> DataFrame:
 
 def fit_conversion_model(frame: DataFrame, rounds: int = 20, seed: int = 42) -> PipelineModel:
     """Gradient-boosted purchase probability. Tree splits need no scaling of the inputs."""
-    usable = frame.dropna(subset=[*K.PRICING_NUMERIC, "product_category", "purchase_label"])
+    needed = [*K.PRICING_NUMERIC, "product_category", "purchase_label"]
+    usable = stage(frame.select(*needed).dropna(), "pricing-train")
     seen = usable.agg(F.min("purchase_label").alias("lo"), F.max("purchase_label").alias("hi")).first()
     if seen.lo == seen.hi:
         raise ValueError("the pricing frame holds one class only; a conversion model needs both")

@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from ..functions import constants as K
 from ..functions import scalars as S
+from ..session import stage
 from . import retrieval
 from .features import normalise_ranker_columns
 
@@ -41,6 +42,7 @@ def training_set(
 
 def fit_ranker(training: DataFrame, rounds: int = 20, seed: int = 42) -> PipelineModel:
     """Pointwise gradient-boosted ranker."""
+    training = stage(training.select(*K.RANKER_NUMERIC, *CATEGORICAL, "purchase_label"), "ranker-train")
     seen = training.agg(F.min("purchase_label").alias("lo"), F.max("purchase_label").alias("hi")).first()
     if seen.lo == seen.hi:
         raise ValueError("the ranking frame holds one class only; a ranker needs both")
@@ -67,7 +69,7 @@ def centred_per_user(training: DataFrame) -> DataFrame:
 
 def fit_within_user(training: DataFrame):
     """Linear ranker on within-user differences; its margin orders candidates."""
-    return LogisticRegression(maxIter=20, standardization=True).fit(centred_per_user(training))
+    return LogisticRegression(maxIter=20, standardization=True).fit(stage(centred_per_user(training), "ranker-train"))
 
 
 def score_with_model(candidates: DataFrame, model: PipelineModel) -> DataFrame:
@@ -85,9 +87,9 @@ def score_within_user(candidates: DataFrame, model) -> DataFrame:
 
 def score_closed_form(candidates: DataFrame) -> DataFrame:
     """Deterministic ranking score in [0, 1]: the purchase propensity, a cart's when the category fits."""
-    stage = F.when(F.col("category_match") == 1, "add_to_cart").otherwise("click")
+    step = F.when(F.col("category_match") == 1, "add_to_cart").otherwise("click")
     return candidates.withColumn("ranking_score", S.purchase_propensity(
-        stage, F.lit(0.0), "price_elasticity_score", "price", "competitor_price", "inventory_level", "rating",
+        step, F.lit(0.0), "price_elasticity_score", "price", "competitor_price", "inventory_level", "rating",
         F.lit(1.0), F.lit(0),
     ))
 

@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 
 from ..functions import constants as K
 from ..functions import scalars as S
+from ..session import stage
 
 BROADCAST_BYTES = 64 << 20
 USER_BLOCK = 32_768
@@ -190,7 +191,7 @@ def fit_factors(interactions: DataFrame, rank: int = 48, iterations: int = 8, se
     model = ALS(
         userCol="user_id", itemCol="product_id", ratingCol="score", implicitPrefs=True, rank=rank, maxIter=iterations,
         seed=seed, coldStartStrategy="drop",
-    ).fit(interactions.where("score > 0"))
+    ).fit(stage(interactions.where("score > 0"), "interactions"))
 
     def unit(factors: DataFrame, key: str) -> DataFrame:
         return factors.select(F.col("id").cast("bigint").alias(key), S.l2_normalised(F.col("features").cast("array<double>")).alias("vector"))
@@ -219,7 +220,8 @@ def fit_two_tower(
         negatives.select("user_id", "product_id", F.lit(0).alias("label"), F.lit(1.0).alias("weight"))
     )
     scored = pair_scores(pair_scores(labelled, id_users, id_items, "id_score"), taste, content, "content_score")
-    data = VectorAssembler(inputCols=["id_score", "content_score"], outputCol="features").transform(scored)
+    pairs = stage(scored.select("id_score", "content_score", "label", "weight"), "tower-train")
+    data = VectorAssembler(inputCols=["id_score", "content_score"], outputCol="features").transform(pairs)
     model = LogisticRegression(weightCol="weight", maxIter=20).fit(data)
     a, b = (float(x) for x in model.coefficients)
     dims = content.select(F.size("vector").alias("d")).first().d

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import scalars as S
+from ..session import stage
 
 
 def standardised(users: DataFrame, features: list[str] = K.SEGMENT_FEATURES) -> DataFrame:
@@ -31,7 +32,9 @@ def _vectors(scaled: DataFrame) -> DataFrame:
 
 
 def fit_clusters(users: DataFrame, k: int = 5, seed: int = 42) -> KMeansModel:
-    return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="behavior_cluster").fit(_vectors(standardised(users)))
+    # Written once: every iteration reads these vectors again.
+    points = stage(_vectors(standardised(users)).select("features"), "segment-vectors")
+    return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="behavior_cluster").fit(points)
 
 
 def with_clusters(users: DataFrame, model: KMeansModel) -> DataFrame:
