@@ -86,7 +86,7 @@ def stockout_bucket(score: Column | str) -> Column:
 
 def holiday_flag(day: Column | str) -> Column:
     d = col(day)
-    return ((F.month(d) == 12) | F.date_format(d, "MM-dd").isin("11-28", "11-29")).cast("int")
+    return ((F.month(d) == 12) | ((F.month(d) == 11) & F.dayofmonth(d).isin(28, 29))).cast("int")
 
 
 def seasonality(day: Column | str) -> Column:
@@ -117,22 +117,32 @@ def popularity(rating, reviews, inventory) -> Column:
     return col(rating) * F.log1p(col(reviews)) * F.sqrt(col(inventory).cast("double"))
 
 
-def purchase_propensity(
-    event_type, discount, sensitivity, price, competitor, inventory, rating, season, promotion
-) -> Column:
-    """Closed-form purchase probability; the deterministic scorer for prices and rankings."""
-    c = col(competitor)
-    relative = clip((c - col(price) * (1 - col(discount))) / F.greatest(c, F.lit(1.0)), -0.4, 0.5)
-    score = (
+def propensity_offset(event_type, inventory, rating, season, promotion) -> Column:
+    """The part of the purchase propensity that does not depend on the price."""
+    return (
         by_type(K.FUNNEL_BASE, event_type, 0.0)
-        + 0.19 * col(discount) * col(sensitivity)
-        + 0.11 * relative
         + 0.035 * (col(rating) - 4.0)
         + 0.025 * (col(season) - 1.0)
         + 0.035 * col(promotion)
         + F.when(col(inventory) < 30, 0.04).otherwise(0.0)
     )
-    return clip(score, 0.002, 0.82)
+
+
+def propensity_at(offset, discount, sensitivity, price, competitor) -> Column:
+    """Closed-form purchase probability at a discount, given the price-free offset."""
+    c = col(competitor)
+    relative = (c - col(price) * (1 - col(discount))) / F.greatest(c, F.lit(1.0))
+    bounded = F.least(F.greatest(relative, F.lit(-0.4)), F.lit(0.5))
+    score = col(offset) + 0.19 * col(discount) * col(sensitivity) + 0.11 * bounded
+    return F.least(F.greatest(score, F.lit(0.002)), F.lit(0.82))
+
+
+def purchase_propensity(
+    event_type, discount, sensitivity, price, competitor, inventory, rating, season, promotion
+) -> Column:
+    """Closed-form purchase probability; the deterministic scorer for prices and rankings."""
+    offset = propensity_offset(event_type, inventory, rating, season, promotion)
+    return propensity_at(offset, discount, sensitivity, price, competitor)
 
 
 def minimum_margin_threshold(margin) -> Column:

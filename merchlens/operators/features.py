@@ -88,14 +88,17 @@ def affinity_maps(affinity: DataFrame) -> DataFrame:
     )
 
 
-def days_since_last(users: DataFrame, events: DataFrame) -> DataFrame:
-    """Whole days between the user's last event and the newest event of all."""
-    newest = events.agg(F.max("timestamp").alias("t")).select(micros("t").alias("t")).scalar()
+def days_since_last(users: DataFrame, as_of: DataFrame) -> DataFrame:
+    """Whole days between the user's last event and the newest event of `as_of`."""
+    newest = as_of.agg(F.max("timestamp").alias("t")).select(micros("t").alias("t")).scalar()
     days = F.floor((newest - micros("last_event_ts")) / 86_400_000_000)
     return users.withColumn("days_since_last_event", F.greatest(days, F.lit(0)))
 
 
-def user_features(events: DataFrame) -> DataFrame:
+def user_features(events: DataFrame, as_of: DataFrame | None = None) -> DataFrame:
+    """The user feature table. Recency counts from the newest event of `as_of` (default: of `events`);
+    pass a cheaper source of the same maximum when `events` is costly to compute.
+    """
     cells = user_product_cells(events)
     users = user_totals(cells).join(affinity_maps(category_affinity(cells)), "user_id", "left")
     users = users.withColumns({
@@ -103,7 +106,7 @@ def user_features(events: DataFrame) -> DataFrame:
         "conversion_rate": S.safe_ratio("purchases", "views"),
         "aov": S.safe_ratio("total_revenue", "purchases"),
     }).withColumn("ltv_estimate", S.lifetime_value("aov", "purchases"))
-    return days_since_last(users, events).withColumn(
+    return days_since_last(users, events if as_of is None else as_of).withColumn(
         "churn_risk", S.churn_risk("days_since_last_event", "purchases", "ctr")
     )
 

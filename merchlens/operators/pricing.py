@@ -87,45 +87,46 @@ def candidate_discount(candidate: Column) -> Column:
 
 def closed_form(candidate: Column) -> Column:
     """Deterministic purchase probability of a context at a candidate price."""
-    return S.purchase_propensity(
-        F.lit("click"), candidate_discount(candidate), "price_elasticity_score", "price", "competitor_price",
-        "inventory_level", "rating", "seasonality_factor", F.lit(0),
-    )
+    return S.propensity_at("_offset", candidate_discount(candidate), "price_elasticity_score", "price", "competitor_price")
 
 
 def choose(bounded: DataFrame, scorer: Scorer = closed_form) -> DataFrame:
-    """Best expected margin over the grid, the lower price on ties. Narrow: no rows are multiplied."""
+    """Best expected margin over the grid, the lower price on ties.
+
+    The grid stays an array inside its row: nothing is multiplied or shuffled. What does not depend on
+    the price is computed before the array, once per row.
+    """
+    offset = S.propensity_offset(F.lit("click"), "inventory_level", "rating", "seasonality_factor", F.lit(0))
+
     def scored(p: Column) -> Column:
         prob = scorer(p)
         unit = F.greatest(p - F.col("cost"), F.lit(0.0))
         return F.struct((unit * prob).alias("expected_margin"), (-p).alias("neg_price"), prob.alias("probability"))
 
-    best = F.array_max(F.transform(price_grid(), scored))
-    return bounded.withColumn("_best", best).withColumns({
+    ready = bounded.withColumn("_offset", offset).withColumn("_grid", price_grid())
+    return ready.withColumn("_best", F.array_max(F.transform("_grid", scored))).withColumns({
         "optimal_price": -F.col("_best.neg_price"),
         "demand_probability": F.col("_best.probability"),
         "expected_margin": F.col("_best.expected_margin"),
-    }).drop("_best")
+    }).drop("_best", "_grid", "_offset")
+
 
+def choose_with_model(bounded: DataFrame, model: PipelineModel, keys: tuple[str, ...] = ("product_id",)) -> DataFrame:
+    """The same argmax with a fitted model: one set-wise transform of all candidates.
 
-def choose_with_model(bounded: DataFrame, model: PipelineModel, key: str = "product_id") -> DataFrame:
-    """The same argmax with a fitted model: one set-wise transform of all candidates."""
-    # Prices of a product come from one input row, so the map side folds them before any shuffle.
+    `keys` identify a context row. Its candidates come from that one row, so the map side folds them
+    to one before the shuffle, and the context joins back on its key.
+    """
     grid = bounded.withColumn("_candidate", F.explode(price_grid())).withColumns({
-        "_real_hist": F.col("historical_conversion_rate"),
         "discount_percentage": candidate_discount(F.col("_candidate")),
         "historical_conversion_rate": F.coalesce("historical_conversion_rate", F.lit(0.04)),
     })
-    prob = model.transform(grid).withColumn("_p", vector_to_array("probability")[1])
+    prob = vector_to_array("probability")[1]
     unit = F.greatest(F.col("_candidate") - F.col("cost"), F.lit(0.0))
-    keep = [c for c in bounded.columns if c not in (key, "historical_conversion_rate")]
-    best = prob.groupBy(key).agg(
-        F.max(F.struct((unit * F.col("_p")).alias("expected_margin"), (-F.col("_candidate")).alias("neg_price"),
-                       F.col("_p").alias("probability"))).alias("_best"),
-        F.first("_real_hist").alias("historical_conversion_rate"),
-        *[F.first(c).alias(c) for c in keep],
-    )
-    return best.withColumns({
+    best = model.transform(grid).select(
+        *keys, F.struct((unit * prob).alias("expected_margin"), (-F.col("_candidate")).alias("neg_price"), prob.alias("probability")).alias("_c")
+    ).groupBy(*keys).agg(F.max("_c").alias("_best"))
+    return bounded.join(best, list(keys)).withColumns({
         "optimal_price": -F.col("_best.neg_price"),
         "demand_probability": F.col("_best.probability"),
         "expected_margin": F.col("_best.expected_margin"),
@@ -168,7 +169,9 @@ def decisions(chosen: DataFrame) -> DataFrame:
 
 def optimise(df: DataFrame, model: PipelineModel | None = None) -> DataFrame:
     bounded = bounds(contexts(df))
-    return decisions(choose(bounded) if model is None else choose_with_model(bounded, model))
+    if model is None:
+        return decisions(choose(bounded))
+    return decisions(choose_with_model(stage(bounded, "price-contexts"), model))
 
 
 def with_overrides(features: DataFrame, overrides: DataFrame, key: str = "product_id") -> DataFrame:

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -18,11 +16,14 @@ from pyspark.sql.window import Window
 from ..functions import constants as K
 from ..functions import scalars as S
 from ..session import stage
+from . import block_top_k
+
+# Ship the task-side code with the job: executors need numpy and pandas only, not this package.
+cloudpickle.register_pickle_by_value(block_top_k)
 
 BROADCAST_BYTES = 64 << 20
 USER_BLOCK = 32_768
 ITEM_BLOCK = 32_768
-_ROWS_AT_ONCE = 256
 
 
 def item_attributes(catalog: DataFrame) -> DataFrame:
@@ -84,22 +85,6 @@ def requested_vectors(requests: DataFrame, users: DataFrame, items: DataFrame) -
     return requests.join(users, "user_id", "left").withColumn("vector", F.coalesce("vector", mean_vector(items).scalar()))
 
 
-def _best(ids: np.ndarray, matrix: np.ndarray, users: pd.DataFrame, k: int) -> Iterator[pd.DataFrame]:
-    """Rows that can be among a user's top k unseen: the best k + seen scores of this item block."""
-    if len(users) == 0 or len(ids) == 0:
-        return
-    for at in range(0, len(users), _ROWS_AT_ONCE):
-        part = users.iloc[at:at + _ROWS_AT_ONCE]
-        scores = np.nan_to_num(np.stack(part["vector"].to_numpy()) @ matrix.T, nan=0.0, posinf=0.0, neginf=0.0)
-        want = np.minimum(k + part["n_seen"].to_numpy(), len(ids)).astype(int)
-        for row, user, m in zip(scores, part["user_id"], want):
-            # Everything equal to the m-th best stays, so ties are settled by id afterwards.
-            keep = np.flatnonzero(row >= np.partition(row, len(row) - m)[len(row) - m])
-            yield pd.DataFrame({
-                "user_id": user, "product_id": ids[keep], "raw_score": row[keep], "lo": row.min(), "hi": row.max(),
-            })
-
-
 _SCORED = "user_id bigint, product_id bigint, raw_score double, lo double, hi double"
 
 
@@ -113,11 +98,7 @@ def _score(users: DataFrame, items: DataFrame, k: int, broadcast_bytes: int) ->
         ids = spark.sparkContext.broadcast(packed["product_id"].to_numpy())
         matrix = spark.sparkContext.broadcast(np.stack(packed["vector"].to_numpy()) if len(packed) else np.zeros((0, 1)))
 
-        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                yield from _best(ids.value, matrix.value, batch, k)
-
-        return users.mapInPandas(scan, _SCORED)
+        return users.mapInPandas(block_top_k.scan(ids, matrix, k), _SCORED)
 
     # Larger catalogs: blocks of users meet blocks of items. Hash blocks keep every group near the
     # block size, whatever the keys look like.
@@ -132,12 +113,7 @@ def _score(users: DataFrame, items: DataFrame, k: int, broadcast_bytes: int) ->
         "ib", F.pmod(F.xxhash64("product_id"), F.lit(item_blocks)).cast("int")
     ).withColumn("ub", blocks(user_blocks))
 
-    def block(u: pd.DataFrame, i: pd.DataFrame) -> pd.DataFrame:
-        if len(u) == 0 or len(i) == 0:
-            return pd.DataFrame({"user_id": [], "product_id": [], "raw_score": [], "lo": [], "hi": []})
-        return pd.concat(_best(i["product_id"].to_numpy(), np.stack(i["vector"].to_numpy()), u, k))
-
-    return left.groupBy("ub", "ib").cogroup(right.groupBy("ub", "ib")).applyInPandas(block, _SCORED)
+    return left.groupBy("ub", "ib").cogroup(right.groupBy("ub", "ib")).applyInPandas(block_top_k.pair(k), _SCORED)
 
 
 def retrieve(

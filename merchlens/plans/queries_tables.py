@@ -224,8 +224,8 @@ _KPI_SQL = f"""
 
 @register("agg_12", _KPI_COLUMNS, _KPI_SQL)
 def _(r: Retail):
-    events = r.sessions
-    return kpis.executive_kpis(events, r.catalog, r.users, r.inventory, "derived_session_id")
+    users = features.user_features(r.clean_table)
+    return kpis.executive_kpis(r.session_table, r.catalog, users, r.inventory, "derived_session_id")
 
 
 @register("agg_13", "repeat_purchase_rate:6", f"SELECT {_REPEAT} AS repeat_purchase_rate")

@@ -16,6 +16,7 @@ from ..sources.tables import read_table
 class Retail:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = tune(spark), folder.rstrip("/")
+        self._candidates: dict[tuple[int, int], tuple[DataFrame, DataFrame]] = {}
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.folder, name)
@@ -41,6 +42,10 @@ class Retail:
     def sessions(self) -> DataFrame:
         return sessions.sessionize(self.clean)
 
+    @cached_property
+    def session_table(self) -> DataFrame:
+        return stage(sessions.sessionize(self.clean_table), "sessions")
+
     @cached_property
     def sales(self) -> DataFrame:
         return bindings.sales(self.spark, self.folder)
@@ -55,7 +60,8 @@ class Retail:
 
     @cached_property
     def users(self) -> DataFrame:
-        return features.user_features(self.clean)
+        # Dropping copies cannot change the newest time, so that scan skips the deduplication.
+        return features.user_features(self.clean, as_of=cleaning.drop_incomplete(self.raw))
 
     @cached_property
     def products(self) -> DataFrame:
@@ -92,8 +98,13 @@ class Retail:
         return sampling.temporal_split(self.clean_table)
 
     def candidates(self, events: DataFrame, k: int = 100) -> DataFrame:
-        users = retrieval.user_vectors(features.interactions(events), self.items)
-        return retrieval.retrieve(users, self.items, features.seen_items(events), k)
+        """Scored once per event set and written: lists, metrics and presence all read it."""
+        known = self._candidates.get((id(events), k))
+        if known is None:
+            users = retrieval.user_vectors(features.interactions(events), self.items)
+            found = stage(retrieval.retrieve(users, self.items, features.seen_items(events), k), "candidates")
+            known = self._candidates[id(events), k] = (events, found)
+        return known[1]
 
     def recommendations(self, events: DataFrame, k: int = 10) -> DataFrame:
         users = features.user_features(events)

@@ -52,10 +52,11 @@ def clickstream_from(events: DataFrame, catalog: DataFrame, ts: Column | None =
     ).join(catalog, "product_id", "left")
     is_purchase = F.col("event_type") == "purchase"
     day = F.col("timestamp").cast("date")
+    day_number = F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
     return joined.select(
         "event_id",
         "user_id",
-        F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format("timestamp", "yyyyMMdd")).alias("session_id"),
+        F.concat(F.col("user_id").cast("string"), F.lit("-"), day_number.cast("string")).alias("session_id"),
         "timestamp",
         "event_type",
         "product_id",
