@@ -186,8 +186,9 @@ def pricing_frame(
 ) -> DataFrame:
     """Event-grain pricing features.
 
-    The historical conversion is a per-product aggregate joined back, not a window over the product's
-    events: the aggregate combines before the shuffle, and the join is split by AQE on a hot product.
+    Everything an event needs from its product and day is gathered per (product, day) first, from
+    aggregates that combine before the shuffle. The events then join once, on product and day, so a
+    hot product is spread over its days.
     With `leave_one_out` an event's own label is left out of its product's rate.
     """
     per_product = events.groupBy("product_id").agg(
@@ -201,15 +202,15 @@ def pricing_frame(
         per_product = per_product.withColumns({
             "margin": F.lit(None).cast("double"), "price_elasticity_score": F.lit(None).cast("double")
         })
-    days = demand.select("product_id", "date", "daily_sales")
-    own = F.col("purchase_label") if leave_one_out else F.lit(0)
-    others = F.col("_n") - 1 if leave_one_out else F.col("_n")
-    joined = (
-        events.withColumn("date", F.col("timestamp").cast("date"))
-        .join(days, ["product_id", "date"], "left")
+    dated = events.withColumn("date", F.col("timestamp").cast("date"))
+    known = (
+        dated.groupBy("product_id", "date").agg(F.count(F.lit(1)).alias("_events")).drop("_events")
+        .join(demand.select("product_id", "date", "daily_sales"), ["product_id", "date"], "left")
         .join(per_product, "product_id", "left")
     )
-    return joined.select(
+    own = F.col("purchase_label") if leave_one_out else F.lit(0)
+    others = F.col("_n") - 1 if leave_one_out else F.col("_n")
+    return dated.join(known, ["product_id", "date"], "left").select(
         "product_id",
         "product_category",
         "competitor_price",

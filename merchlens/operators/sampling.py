@@ -57,8 +57,7 @@ def negatives(positives: DataFrame, seen: DataFrame, catalog: DataFrame, n: int
     known = seen.join(items, "product_id").withColumn("_block", F.floor(F.col("idx") / 4096))
     ranked = running_total(known, ["user_id"], "_block", ["idx"], F.lit(1), "rank")
     gaps = ranked.select(
-        "user_id", (F.col("idx") - (F.col("rank") - 1)).alias("pos"), F.lit(0).alias("is_draw"),
-        F.lit(None).cast("string").alias("event_id"), F.lit(None).cast("bigint").alias("draw"), "idx",
+        "user_id", (F.col("idx") - (F.col("rank") - 1)).alias("pos"), F.lit(0).alias("is_draw"), "idx",
     )
     counts = known.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_seen"))
     free = total - F.coalesce("n_seen", F.lit(0))
@@ -74,18 +73,17 @@ def negatives(positives: DataFrame, seen: DataFrame, catalog: DataFrame, n: int
             start.alias("_start"), stride.alias("_stride"),
         )
         .select(
-            "user_id", ((F.col("_start") + F.col("draw") * F.col("_stride")) % F.col("_pool")).alias("pos"),
-            F.lit(1).alias("is_draw"), "event_id", F.col("draw").cast("bigint").alias("draw"),
-            F.lit(None).cast("bigint").alias("idx"),
+            "user_id", ((F.col("_start") + F.col("draw") * F.col("_stride")) % F.col("_pool")).alias("pos"), "event_id", "draw",
         )
     )
-    both = gaps.unionByName(draws).withColumn("_block", F.floor(F.col("pos") / 4096))
-    order = ["pos", "is_draw", "idx", "event_id", "draw"]
-    placed = running_total(both, ["user_id"], "_block", order, (F.col("is_draw") == 0).cast("int"), "below")
-    picked = placed.where("is_draw = 1").withColumn("idx", (F.col("pos") + F.col("below")) % total)
-    return picked.select("user_id", "event_id", "draw", "idx").join(items, "idx").select(
-        "user_id", "event_id", "draw", "product_id"
-    )
+    # A position's shift depends on (user, position) only, and a user has at most as many positions
+    # as there are products: a user with very many positives still makes few rows here.
+    asked = draws.select("user_id", "pos", F.lit(1).alias("is_draw"), F.lit(None).cast("bigint").alias("idx")).distinct()
+    both = gaps.unionByName(asked).withColumn("_block", F.floor(F.col("pos") / 4096))
+    placed = running_total(both, ["user_id"], "_block", ["pos", "is_draw", "idx"], (F.col("is_draw") == 0).cast("int"), "below")
+    shifts = placed.where("is_draw = 1").select("user_id", "pos", ((F.col("pos") + F.col("below")) % total).alias("idx"))
+    drawn = shifts.join(items, "idx").select("user_id", "pos", "product_id")
+    return draws.join(drawn, ["user_id", "pos"]).select("user_id", "event_id", "draw", "product_id")
 
 
 def preferred_items(affinity: DataFrame, catalog: DataFrame, seed: str = "42") -> DataFrame:

@@ -44,7 +44,9 @@ class FeatureStore:
         for t in tables:
             seen = Observation(f"rows-{t.name}")
             counted = t.frame.observe(seen, F.count(F.lit(1)).alias("n")).withColumn("version", F.lit(self.version))
-            counted.write.mode("append").partitionBy("version").parquet(self.offline_path(t.name))
+            # Replaces this version only, so a repeated run does not double its rows.
+            counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(
+                self.offline_path(t.name))
             offline = self.read(t.name)
             online = offline if t.order_by is None else latest_per_entity(offline, t.entity, [t.order_by])
             online.write.mode("overwrite").json(self.online_path(t.name))
