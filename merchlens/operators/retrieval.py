@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import constants as K
 from ..functions import scalars as S
 from ..session import stage
 from . import block_top_k
@@ -90,9 +89,9 @@ _SCORED = "user_id bigint, product_id bigint, raw_score double, lo double, hi do
 
 def _score(users: DataFrame, items: DataFrame, k: int, broadcast_bytes: int) -> DataFrame:
     spark = users.sparkSession
-    width = items.select(F.size("vector").alias("d")).limit(1).first()
-    n_items = items.count()
-    if width is None or n_items * (width.d + 1) * 8 <= broadcast_bytes:
+    size = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("vector")), F.lit(0)).alias("width")).first()
+    n_items = size.n
+    if n_items * (size.width + 1) * 8 <= broadcast_bytes:
         # Size checked above: the item matrix fits every executor.
         packed = items.orderBy("product_id").toPandas()
         ids = spark.sparkContext.broadcast(packed["product_id"].to_numpy())
@@ -190,8 +189,9 @@ def fit_two_tower(
     interactions: DataFrame, content: DataFrame, positives: DataFrame, negatives: DataFrame, rank: int = 16, seed: int = 42
 ) -> TwoTower:
     id_users, id_items = fit_factors(interactions, rank=rank, seed=seed)
-    content = content.select("product_id", S.l2_normalised("vector").alias("vector"))
-    taste = user_vectors(interactions, content)
+    # Written once each: both are read by the training pairs and by the towers.
+    content = stage(content.select("product_id", S.l2_normalised("vector").alias("vector")), "content")
+    taste = stage(user_vectors(interactions, content), "taste")
     labelled = positives.select("user_id", "product_id", F.lit(1).alias("label"), "weight").unionByName(
         negatives.select("user_id", "product_id", F.lit(0).alias("label"), F.lit(1.0).alias("weight"))
     )
@@ -212,4 +212,5 @@ def fit_two_tower(
         return both.select(key, F.concat(part("_id", rank, wa), part("_content", dims, wb)).alias("vector"))
 
     # The learned weights ride on the user side only, so the dot product is the model's margin.
-    return TwoTower(tower(id_users, taste, "user_id", a, b), tower(id_items, content, "product_id", 1.0, 1.0), model)
+    users = stage(tower(id_users, taste, "user_id", a, b), "tower-users")
+    return TwoTower(users, stage(tower(id_items, content, "product_id", 1.0, 1.0), "tower-items"), model)
