@@ -72,17 +72,29 @@ def fit_within_user(training: DataFrame):
     return LogisticRegression(maxIter=20, standardization=True).fit(stage(centred_per_user(training), "ranker-train"))
 
 
+def _model_inputs(candidates: DataFrame) -> DataFrame:
+    """Ranker inputs: the model sees the raw dot product it was trained on, kept apart from the scaled one."""
+    frame = candidates.withColumn("_scaled", F.col("retrieval_score"))
+    if "raw_score" in candidates.columns:
+        frame = frame.withColumn("retrieval_score", F.col("raw_score"))
+    return normalise_ranker_columns(frame, K.RANKER_NUMERIC, CATEGORICAL)
+
+
+def _restored(scored: DataFrame) -> DataFrame:
+    return scored.withColumn("retrieval_score", F.col("_scaled")).drop("_scaled")
+
+
 def score_with_model(candidates: DataFrame, model: PipelineModel) -> DataFrame:
-    frame = normalise_ranker_columns(candidates, K.RANKER_NUMERIC, CATEGORICAL)
+    frame = _model_inputs(candidates)
     raw = ["rawPrediction", "probability", "prediction", "features", "_cat", "_brand", "_cat_vec", "_brand_vec"]
-    return model.transform(frame).withColumn("ranking_score", vector_to_array("probability")[1]).drop(*raw)
+    return _restored(model.transform(frame).withColumn("ranking_score", vector_to_array("probability")[1]).drop(*raw))
 
 
 def score_within_user(candidates: DataFrame, model) -> DataFrame:
-    frame = normalise_ranker_columns(candidates, K.RANKER_NUMERIC, CATEGORICAL)
+    frame = _model_inputs(candidates)
     weights = [float(w) for w in model.coefficients]
     margin = sum((F.col(c).cast("double") * w for c, w in zip(K.RANKER_NUMERIC, weights)), F.lit(0.0))
-    return frame.withColumn("ranking_score", S.sigmoid(margin))
+    return _restored(frame.withColumn("ranking_score", S.sigmoid(margin)))
 
 
 def score_closed_form(candidates: DataFrame) -> DataFrame:
