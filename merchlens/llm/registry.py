@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from . import queries_dedup
+from . import queries_dedup, queries_tokens
 
-QUERIES = {"op10_exact_dedup": queries_dedup.op10_exact_dedup}
+QUERIES = {
+    "op3_sentence_pieces": queries_tokens.op3_sentence_pieces,
+    "op10_exact_dedup": queries_dedup.op10_exact_dedup,
+}
 SQL = {"op10_exact_dedup": queries_dedup.OP10_SQL}

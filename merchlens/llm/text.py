@@ -6,13 +6,15 @@ hash of its bytes; callers that need certainty compare the bytes afterwards.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 2 << 20
@@ -27,7 +29,10 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def prepare(spark: SparkSession) -> None:
-    """Few rows for each Arrow batch: texts may be long, and a task holds one batch at a time."""
+    """Few rows for each Arrow batch, as texts may be long and a task holds one batch at a time; workers find this package."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in (paths := env.get("PYTHONPATH", "").split(os.pathsep)):
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
 
 
@@ -146,7 +151,3 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             yield batch.slice(at, to - at)
             at = to
 
-
-def spread(docs: DataFrame, *columns: str) -> DataFrame:
-    """Only what an operator reads; clashing extra columns stay out."""
-    return docs.select(*columns)
