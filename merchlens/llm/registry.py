@@ -6,6 +6,7 @@ from . import queries_dedup, queries_tokens
 
 QUERIES = {
     "op3_sentence_pieces": queries_tokens.op3_sentence_pieces,
+    "op9_near_duplicates": queries_dedup.op9_near_duplicates,
     "op10_exact_dedup": queries_dedup.op10_exact_dedup,
 }
-SQL = {"op10_exact_dedup": queries_dedup.OP10_SQL}
+SQL = {"op9_near_duplicates": queries_dedup.OP9_SQL, "op10_exact_dedup": queries_dedup.OP10_SQL}
