@@ -29,9 +29,9 @@ def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 OP9_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
 ), s AS (
-  SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) END AS s FROM d
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM d
 ), e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
 p AS (
   SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
