@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import queries_dedup, queries_scan, queries_tokens
+from . import queries_dedup, queries_models, queries_scan, queries_tokens
 
 QUERIES = {
     "op3_sentence_pieces": queries_tokens.op3_sentence_pieces,
     "op5_decontaminate": queries_scan.op5_decontaminate,
+    "op7_toxicity": queries_models.op7_toxicity,
     "op9_near_duplicates": queries_dedup.op9_near_duplicates,
     "op10_exact_dedup": queries_dedup.op10_exact_dedup,
 }

@@ -88,14 +88,26 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def words_of(column: pa.Array, lower: bool = False) -> Words:
+def separators(*ranges: tuple[int, int]) -> np.ndarray:
+    """Table of separating bytes from inclusive ranges."""
+    out = np.zeros(256, bool)
+    for a, b in ranges:
+        out[a : b + 1] = True
+    return out
+
+
+def words_of(column: pa.Array, lower: bool = False, between: np.ndarray = _SEPARATOR, fold: bool = False) -> Words:
+    """lower: A-Z only; fold: also the accented capitals of Latin-1. between: the separating bytes."""
     data, offsets = texts_of(column)
-    if lower:
+    if lower or fold:
         data = _LOWER[data]
+    if fold and len(data) > 1:
+        capital = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+        data[1:][capital] += 0x20
     if not len(data):
         none = np.zeros(0, np.int64)
         return Words(data, none, none, np.zeros(len(offsets), np.int64), np.zeros(0, np.uint64))
-    inside = ~_SEPARATOR[data]
+    inside = ~between[data]
     cut = np.zeros(len(data) + 1, bool)  # where a document begins
     cut[offsets] = True
     begin, stop = inside.copy(), inside.copy()
