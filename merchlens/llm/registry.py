@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import queries_dedup, queries_models, queries_scan, queries_tokens
+from . import queries_dedup, queries_models, queries_rules, queries_scan, queries_tokens
 
 QUERIES = {
+    "op2_secrets": queries_rules.op2_secrets,
     "op3_sentence_pieces": queries_tokens.op3_sentence_pieces,
     "op5_decontaminate": queries_scan.op5_decontaminate,
     "op7_toxicity": queries_models.op7_toxicity,
