@@ -8,6 +8,7 @@ QUERIES = {
     "op2_secrets": queries_rules.op2_secrets,
     "op3_sentence_pieces": queries_tokens.op3_sentence_pieces,
     "op5_decontaminate": queries_scan.op5_decontaminate,
+    "op6_licenses": queries_rules.op6_licenses,
     "op7_toxicity": queries_models.op7_toxicity,
     "op9_near_duplicates": queries_dedup.op9_near_duplicates,
     "op10_exact_dedup": queries_dedup.op10_exact_dedup,
