@@ -7,10 +7,11 @@ Documents with equal sets form a class, represented by its smallest id, so copie
 band) no pairs of all members are made:
 1. Every member is paired with the bucket's smallest id. Pairs whose signatures allow the threshold are checked on the full sets; the
    links give components.
-2. Where a bucket still holds several components, its members are dealt to blocks, and members outside the bucket's largest component are
-   compared with the blocks by signature. At first only the best partner of a member in each block is checked, then whatever still
-   joins different components and may reach the threshold. So no link that matters is lost, whatever the bucket's size.
-The signature check keeps pairs whose agreement is at least 0.6, over five standard deviations below the threshold.
+2. Where a bucket still holds several components, its members are dealt to blocks of bounded size with their sets, and members outside the
+   bucket's largest component meet every block. Pairs of different components whose signatures allow the threshold are checked
+   on the full sets right there, in the first band that they share, and only links that join two components come out. So no link
+   that matters is lost, whatever the bucket's size, and no pairs are written.
+The signature check keeps pairs whose agreement is at least 0.66, five standard deviations below the threshold.
 
 Nulls: a null text has no words. Documents without words are linked with nothing. A row without doc_id is linked with nothing and kept. Rows that share a
 doc_id but not a text are each judged by their own text. Other columns are not read.
@@ -29,8 +30,8 @@ from .text import mix, prepare, rolling, slices, words_of
 
 ROWS, BANDS = 5, 40
 HASHES = ROWS * BANDS
-LIKELY = 0.6  # least agreement of signatures that goes to the exact check
-BLOCK = 4096  # members of a bucket that are compared at once
+LIKELY = 0.66  # least agreement of signatures that goes to the exact check
+BLOCK, BLOCK_BYTES = 4096, 16 << 20  # members of a bucket, and bytes of their sets, that are compared at once
 _RULE = np.random.default_rng(97)
 _A = (_RULE.integers(0, 1 << 31, HASHES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
 _B = _RULE.integers(0, 1 << 32, HASHES, dtype=np.uint32)
@@ -137,45 +138,73 @@ def _linked(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _crossing(buckets: DataFrame, sketches: DataFrame, comps: DataFrame, threshold: int, best: bool) -> DataFrame:
-    """Pairs (a, b) of members of a bucket that lie in different components and may reach the threshold."""
-    member = buckets.join(comps.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    parts = member.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+def _root(parent: dict, x):
+    while parent[x] != x:
+        parent[x] = parent[parent[x]]
+        x = parent[x]
+    return x
+
+
+def _crossing(buckets: DataFrame, sketches: DataFrame, sets: DataFrame, comps: DataFrame, threshold: int) -> DataFrame:
+    """Links (a, b) between different components, found in the buckets; as many as join them, not all."""
+    sized = sketches.select("id", F.col("n").alias("size"))
+    member = buckets.join(comps.select(F.col("node").alias("id"), "component"), "id", "left").join(sized, "id").withColumn("component", F.coalesce("component", "id"))
+    parts = member.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("size") * 8).alias("bytes"))
+
+    def blocks(n, size):
+        return F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("int")
+
     mixed = (
         parts.groupBy("bucket")
-        .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component")).alias("largest"))
+        .agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component", "bytes")).alias("largest"))
         .where("parts > 1 and n > 2")  # two members have met in the first step
-        .select("bucket", F.col("largest.component").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("n") - F.col("largest.n")) / BLOCK).cast("int").alias("minor_blocks"))
+        .select("bucket", F.col("largest.component").alias("main"), blocks(F.col("n"), F.col("bytes")).alias("blocks"), blocks(F.col("n") - F.col("largest.n"), F.col("bytes") - F.col("largest.bytes")).alias("minor_blocks"))
     )
-    sided = member.join(mixed, "bucket").withColumn("minor", F.col("component") != F.col("main"))
+    sided = member.join(mixed, "bucket").withColumn("minor", F.col("component") != F.col("main")).withColumn("single", F.expr("blocks = 1 and minor_blocks = 1"))
     spot = F.xxhash64("id")
     home = sided.withColumn("j", F.pmod(spot, F.col("blocks")).cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("minor_blocks") - 1))).withColumn("asks", F.lit(False))
     asking = sided.where("minor").withColumn("i", F.pmod(spot, F.col("minor_blocks")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("asks", F.lit(True))
-    columns = ["bucket", "i", "j", "asks", "id", "component", "minor"]
-    dealt = home.select(*columns).unionByName(asking.select(*columns)).join(sketches, "id")
+    columns = ["bucket", "i", "j", "single", "asks", "id", "component"]
+    # In a bucket of a single block one row does for both sides.
+    dealt = home.withColumn("asks", F.col("single") & F.col("minor")).select(*columns).unionByName(asking.where("not single").select(*columns))
+    full = dealt.join(sketches.select("id", "sketch", "bands"), "id").join(sets, "id")
 
     def run(table: pa.Table) -> pa.Table:
         asks = table.column("asks").to_numpy()
-        column = {c: table.column(c).to_numpy() for c in ("id", "component", "minor", "n")}
+        ids, component = table.column("id").to_pylist(), table.column("component").to_pylist()
+        here = np.flatnonzero(asks)
+        there = np.arange(len(asks)) if table.column("single")[0].as_py() else np.flatnonzero(~asks)
         sketch = _sketches(table.column("sketch"))
-        here, there = np.flatnonzero(asks), np.flatnonzero(~asks)
+        band = np.array([np.asarray(x.values) for x in table.column("bands")]).reshape(len(ids), BANDS)
+        bucket = table.column("bucket")[0].as_py()
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles")]
+        size = np.array([len(x) for x in sets])
+        parent = {c: c for c in component}
+        root = np.array(component)
         a, b = [], []
-        for at in here:
-            differ = there[column["component"][there] != column["component"][at]]
-            if not best:  # two asking members meet twice
-                differ = differ[~column["minor"][differ] | (column["id"][differ] < column["id"][at])]
-            small, large = np.minimum(column["n"][differ], column["n"][at]), np.maximum(column["n"][differ], column["n"][at])
+        for at in here.tolist():
+            own = _root(parent, component[at])
+            differ = there[root[there] != own]
+            small, large = np.minimum(size[differ], size[at]), np.maximum(size[differ], size[at])
             differ = differ[100 * small >= threshold * large]
-            agree = (sketch[differ] == sketch[at]).mean(axis=1)
-            if best and len(agree):
-                differ, agree = differ[[agree.argmax()]], agree[[agree.argmax()]]
-            hit = differ[agree >= LIKELY]
-            a += [column["id"][at]] * len(hit)
-            b += column["id"][hit].tolist()
-        x, y = np.array(a, np.int64), np.array(b, np.int64)
-        return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
-
-    return dealt.groupBy("bucket", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct()
+            differ = differ[(sketch[differ] == sketch[at]).mean(axis=1) >= LIKELY]
+            shared = band[differ] == band[at]  # in the first band that both share, and nowhere else
+            differ = differ[band[at][shared.argmax(axis=1)] == bucket]
+            for low in range(0, len(differ), 256):
+                some = differ[low : low + 256]
+                pool = np.concatenate([sets[x] for x in some])
+                spot = np.minimum(np.searchsorted(sets[at], pool), size[at] - 1)
+                common = np.add.reduceat((sets[at][spot] == pool).astype(np.int64), np.cumsum(size[some]) - size[some])
+                for x in some[100 * common >= threshold * (size[some] + size[at] - common)].tolist():
+                    p, q = _root(parent, component[at]), _root(parent, component[x])
+                    if p != q:
+                        parent[max(p, q)] = min(p, q)
+                        root = np.where(root == max(p, q), min(p, q), root)
+                        a.append(min(ids[at], ids[x]))
+                        b.append(max(ids[at], ids[x]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return full.groupBy("bucket", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80) -> DataFrame:
@@ -188,18 +217,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80) -> Dat
     shared = members.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("bucket", "first")
     buckets = stage(members.join(shared, "bucket"), "minhash-buckets")
     ids = stage(buckets.select("id").distinct(), "minhash-ids")
-    sketches = stage(chosen.join(ids, F.col("doc_id") == F.col("id"), "left_semi").select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch"), "minhash-sketches")
+    sketches = stage(chosen.join(ids, F.col("doc_id") == F.col("id"), "left_semi").select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch", "bands"), "minhash-sketches")
     sets = stage(_full_sets(docs, ids, words), "minhash-sets")
     pairs = buckets.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     links = stage(_linked(_likely(pairs, sketches, threshold), sets, threshold), "minhash-links")
     comps = components(links)
-    for best in (True, False):
-        more = stage(_crossing(buckets.select("bucket", "id"), sketches, comps, threshold, best), "minhash-crossing")
-        found = stage(_linked(more, sets, threshold), "minhash-links")
-        if found.isEmpty():
-            continue
-        links = links.union(found)
-        comps = components(links)
+    found = stage(_crossing(buckets.select("bucket", "id"), sketches, sets, comps, threshold), "minhash-crossing")
+    if not found.isEmpty():
+        comps = components(links.union(found))
     of_class = classes.join(comps, F.col("id") == F.col("node"), "left").select("n_shingles", "fp1", "fp2", F.coalesce("component", "id").alias("component"))
     own = prints.select("doc_id", "n_shingles", "fp1", "fp2").join(of_class, ["n_shingles", "fp1", "fp2"], "left")
     out = own.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
