@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, minhash
+from . import exact_dedup, minhash, substring_dedup
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -42,3 +43,21 @@ r AS (SELECT doc_id AS node, doc_id AS c FROM s UNION SELECT x.b, r.c FROM r JOI
 c AS (SELECT node, min(c) AS component_id FROM r GROUP BY 1)
 SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c ON c.node = s.doc_id
 """
+
+
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring_dedup.dedup(documents(spark, folder), window=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS i, w FROM d),
+k AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s FROM p),
+r AS (SELECT doc_id, i FROM k QUALIFY count(*) OVER (PARTITION BY s) > 1),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS j FROM r),
+l AS (SELECT doc_id, list(j) AS gone FROM g GROUP BY 1),
+f AS (SELECT d.doc_id, len(w) AS n_words, len(coalesce(gone, [])) AS n_removed,
+  array_to_string(list_filter(w, lambda x, j: NOT list_contains(coalesce(gone, []), j)), ' ') AS kept FROM d LEFT JOIN l USING (doc_id))
+SELECT doc_id, n_words, n_removed, sha256(kept) AS kept_sha256 FROM f
+"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import queries_dedup, queries_models, queries_rules, queries_scan, queries_tokens
 
 QUERIES = {
+    "op1_substring_dedup": queries_dedup.op1_substring_dedup,
     "op2_secrets": queries_rules.op2_secrets,
     "op3_sentence_pieces": queries_tokens.op3_sentence_pieces,
     "op5_decontaminate": queries_scan.op5_decontaminate,
@@ -13,4 +14,4 @@ QUERIES = {
     "op9_near_duplicates": queries_dedup.op9_near_duplicates,
     "op10_exact_dedup": queries_dedup.op10_exact_dedup,
 }
-SQL = {"op5_decontaminate": queries_scan.OP5_SQL, "op9_near_duplicates": queries_dedup.OP9_SQL, "op10_exact_dedup": queries_dedup.OP10_SQL}
+SQL = {"op1_substring_dedup": queries_dedup.OP1_SQL, "op5_decontaminate": queries_scan.OP5_SQL, "op9_near_duplicates": queries_dedup.OP9_SQL, "op10_exact_dedup": queries_dedup.OP10_SQL}
