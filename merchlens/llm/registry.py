@@ -11,6 +11,7 @@ QUERIES = {
     "op5_decontaminate": queries_scan.op5_decontaminate,
     "op6_licenses": queries_rules.op6_licenses,
     "op7_toxicity": queries_models.op7_toxicity,
+    "op8_interpolation": queries_models.op8_interpolation,
     "op9_near_duplicates": queries_dedup.op9_near_duplicates,
     "op10_exact_dedup": queries_dedup.op10_exact_dedup,
 }
