@@ -18,7 +18,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 2 << 20
-ROWS_PER_BATCH = 256
+ROWS_PER_BATCH, BYTES_PER_BATCH = 256, 16 << 20
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
@@ -34,6 +34,7 @@ def prepare(spark: SparkSession) -> None:
     if root not in (paths := env.get("PYTHONPATH", "").split(os.pathsep)):
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
 
 
 def text_key(column: str = "text") -> Column:
