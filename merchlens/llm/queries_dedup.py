@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, minhash, substring_dedup
+from . import exact_dedup, line_dedup, minhash, substring_dedup
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,3 +61,19 @@ f AS (SELECT d.doc_id, len(w) AS n_words, len(coalesce(gone, [])) AS n_removed,
   array_to_string(list_filter(w, lambda x, j: NOT list_contains(coalesce(gone, []), j)), ' ') AS kept FROM d LEFT JOIN l USING (doc_id))
 SELECT doc_id, n_words, n_removed, sha256(kept) AS kept_sha256 FROM f
 """
+
+
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.marks(documents(spark, folder), min_lines=2)
+    removed = F.array_join(F.col("removed").cast("array<string>"), ",")
+    return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), removed.alias("removed"))
+
+
+OP4_SQL = r"""
+WITH d AS (SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE string_split(text, chr(10)) END AS l FROM documents),
+w AS (SELECT doc_id, l, unnest(range(0, len(l) - 1)) AS n FROM d),
+c AS (SELECT doc_id, n FROM w QUALIFY row_number() OVER (PARTITION BY l[n + 1], l[n + 2] ORDER BY doc_id, n) > 1),
+g AS (SELECT DISTINCT doc_id, unnest([n, n + 1]) AS line FROM c),
+r AS (SELECT doc_id, count(*) AS n_removed, string_agg(line, ',' ORDER BY line) AS removed FROM g GROUP BY 1)
+SELECT doc_id, len(l) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed FROM d LEFT JOIN r USING (doc_id)
+"""

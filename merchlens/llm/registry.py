@@ -8,6 +8,7 @@ QUERIES = {
     "op1_substring_dedup": queries_dedup.op1_substring_dedup,
     "op2_secrets": queries_rules.op2_secrets,
     "op3_sentence_pieces": queries_tokens.op3_sentence_pieces,
+    "op4_line_dedup": queries_dedup.op4_line_dedup,
     "op5_decontaminate": queries_scan.op5_decontaminate,
     "op6_licenses": queries_rules.op6_licenses,
     "op7_toxicity": queries_models.op7_toxicity,
@@ -15,4 +16,4 @@ QUERIES = {
     "op9_near_duplicates": queries_dedup.op9_near_duplicates,
     "op10_exact_dedup": queries_dedup.op10_exact_dedup,
 }
-SQL = {"op1_substring_dedup": queries_dedup.OP1_SQL, "op5_decontaminate": queries_scan.OP5_SQL, "op9_near_duplicates": queries_dedup.OP9_SQL, "op10_exact_dedup": queries_dedup.OP10_SQL}
+SQL = {"op4_line_dedup": queries_dedup.OP4_SQL, "op1_substring_dedup": queries_dedup.OP1_SQL, "op5_decontaminate": queries_scan.OP5_SQL, "op9_near_duplicates": queries_dedup.OP9_SQL, "op10_exact_dedup": queries_dedup.OP10_SQL}
