@@ -38,6 +38,7 @@ def test_pipeline_on_odd_and_empty_tables(spark, odd_folder):
     import corpus_pipeline
 
     left = corpus_pipeline.run(spark, os.path.join(odd_folder, "full"))
-    ids = [r["doc_id"] for r in left.collect()]
-    assert {4, 8, 9, 10, 11, 12} - {10, 11} <= set(ids) and ids.count(5) == 0
+    ids = {r["doc_id"] for r in left.collect()}
+    # 8 is the toxic one; 2, 5 and 7 are copies or near-copies of 1, 4 and 6; 10 stands for the first text of 11.
+    assert {1, 3, 4, 6, 9, 10, 11, 12} <= ids and not ids & {2, 5, 7, 8}
     assert corpus_pipeline.run(spark, os.path.join(odd_folder, "none")).count() == 0
