@@ -199,11 +199,10 @@ def product_stats(frame: DataFrame) -> DataFrame:
     )
 
 
-def impact_contexts(frame: DataFrame, catalog: DataFrame, sample_size: int | None = None) -> DataFrame:
-    """Catalog products with pricing statistics; all of them, or the first `sample_size` by id."""
+def impact_contexts(frame: DataFrame, catalog: DataFrame) -> DataFrame:
+    """All catalog products that have pricing statistics."""
     base = catalog.select("product_id", "price", "margin", "price_elasticity_score", "rating")
-    joined = base.join(product_stats(frame), "product_id")
-    return joined if sample_size is None else joined.orderBy("product_id").limit(sample_size)
+    return base.join(product_stats(frame), "product_id")
 
 
 def business_impact(chosen: DataFrame) -> DataFrame:
@@ -229,17 +228,25 @@ def business_impact(chosen: DataFrame) -> DataFrame:
     )
 
 
+def _model_inputs(frame: DataFrame) -> DataFrame:
+    """A missing number counts as 0 and a missing category as its own, in training and in scoring; no row is dropped."""
+    types = dict(frame.dtypes)
+    filled = frame.withColumns({c: S.number_or_zero(c, types[c]) for c in K.PRICING_NUMERIC})
+    return filled.withColumn("product_category", F.coalesce("product_category", F.lit("")))
+
+
 def fit_conversion_model(frame: DataFrame, rounds: int = 20, seed: int = 42) -> PipelineModel:
     """Gradient-boosted purchase probability. Tree splits need no scaling of the inputs."""
     needed = [*K.PRICING_NUMERIC, "product_category", "purchase_label"]
-    usable = stage(frame.select(*needed).dropna(), "pricing-train")
+    labelled = _model_inputs(frame).where(F.col("purchase_label").isNotNull())
+    usable = stage(labelled.select(*needed), "pricing-train")
     seen = usable.agg(F.min("purchase_label").alias("lo"), F.max("purchase_label").alias("hi")).first()
     if seen.lo == seen.hi:
         raise ValueError("the pricing frame holds one class only; a conversion model needs both")
     return Pipeline(stages=[
         StringIndexer(inputCol="product_category", outputCol="_cat", handleInvalid="keep"),
         OneHotEncoder(inputCol="_cat", outputCol="_cat_vec", dropLast=False),
-        VectorAssembler(inputCols=[*K.PRICING_NUMERIC, "_cat_vec"], outputCol="features", handleInvalid="skip"),
+        VectorAssembler(inputCols=[*K.PRICING_NUMERIC, "_cat_vec"], outputCol="features", handleInvalid="error"),
         GBTClassifier(labelCol="purchase_label", maxIter=rounds, maxDepth=4, stepSize=0.1, seed=seed),
     ]).fit(usable)
 
@@ -271,7 +278,7 @@ def permutation_importance(
 
 def model_score(model: PipelineModel) -> Callable[[DataFrame], DataFrame]:
     def score(df: DataFrame) -> DataFrame:
-        return model.transform(df).withColumn("probability", vector_to_array("probability")[1])
+        return model.transform(_model_inputs(df)).withColumn("probability", vector_to_array("probability")[1])
 
     return score
 

@@ -17,6 +17,7 @@ from . import retrieval
 from .features import normalise_ranker_columns
 
 CATEGORICAL = ["category", "brand"]
+LABELLED_ROWS = 25_000  # labelled rows that a ranker is fitted on at most; their features come from all events
 FEATURE_COLUMNS = [
     "price", "margin", "rating", "review_count", "inventory_level", "demand_score", "conversion_rate", "ctr",
     "category", "brand", "price_elasticity_score", "competitor_price",
@@ -91,10 +92,14 @@ def score_with_model(candidates: DataFrame, model: PipelineModel) -> DataFrame:
 
 
 def score_within_user(candidates: DataFrame, model) -> DataFrame:
+    """Margins against the mean of the user's own candidates, as the model was fitted on differences to the user's mean."""
     frame = _model_inputs(candidates)
     weights = [float(w) for w in model.coefficients]
     margin = sum((F.col(c).cast("double") * w for c, w in zip(K.RANKER_NUMERIC, weights)), F.lit(0.0))
-    return _restored(frame.withColumn("ranking_score", S.sigmoid(margin)))
+    scored = frame.withColumn("_margin", margin)
+    means = scored.groupBy("user_id").agg(F.avg("_margin").alias("_mean"))
+    centred = scored.join(means, "user_id").withColumn("ranking_score", S.sigmoid(F.col("_margin") - F.col("_mean")))
+    return _restored(centred.drop("_margin", "_mean"))
 
 
 def score_closed_form(candidates: DataFrame) -> DataFrame:
@@ -173,14 +178,13 @@ def recommend(
     return final_top_k(score(business_filter(enrich(candidates, features, dominant), k)), k)
 
 
-def top_users(users: DataFrame, n: int = 500) -> DataFrame:
+def top_users(users: DataFrame, n: int) -> DataFrame:
     return users.orderBy(F.desc(F.round("ltv_estimate", 6)), "user_id").limit(n).select("user_id")
 
 
-def batch_recommendations(candidates, features, users, k: int = 10, max_users: int = 500, score=score_closed_form) -> DataFrame:
-    """Recommendations of the users with the highest lifetime value."""
-    chosen = candidates.join(top_users(users, max_users), "user_id", "left_semi")
-    return recommend(chosen, features, users, k, score)
+def batch_recommendations(candidates, features, users, max_users: int, k: int = 10, score=score_closed_form) -> DataFrame:
+    """Recommendations of the `max_users` users with the highest lifetime value; candidates(chosen) is asked for these only."""
+    return recommend(candidates(top_users(users, max_users)), features, users, k, score)
 
 
 def popular_candidates(requests: DataFrame, catalog: DataFrame, seen: DataFrame, k: int = 100) -> DataFrame:

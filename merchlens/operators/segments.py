@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,10 +14,14 @@ from ..functions import scalars as S
 from ..session import stage
 
 
+def _numbers(users: DataFrame, features: list[str]) -> DataFrame:
+    types = dict(users.dtypes)
+    return users.withColumns({f"z_{c}": S.number_or_zero(c, types[c]) for c in features})
+
+
 def standardised(users: DataFrame, features: list[str] = K.SEGMENT_FEATURES) -> DataFrame:
     """Zero mean, unit population deviation; missing and infinite values count as 0."""
-    types = dict(users.dtypes)
-    clean = users.withColumns({f"z_{c}": S.number_or_zero(c, types[c]) for c in features})
+    clean = _numbers(users, features)
     stats = clean.agg(*[
         F.struct(F.avg(f"z_{c}").alias("mean"), F.stddev_pop(f"z_{c}").alias("std")).alias(c) for c in features
     ]).select(F.struct(*features).alias("s")).scalar()
@@ -31,15 +37,17 @@ def _vectors(scaled: DataFrame) -> DataFrame:
     return scaled.withColumn("features", array_to_vector(F.array(*[f"z_{c}" for c in K.SEGMENT_FEATURES])))
 
 
-def fit_clusters(users: DataFrame, k: int = 5, seed: int = 42) -> KMeansModel:
+def fit_clusters(users: DataFrame, k: int = 5, seed: int = 42) -> PipelineModel:
+    """Scaler and clusters in one model, which `save` and `PipelineModel.load` keep; users scored later are scaled as the fitted ones were."""
     # Written once: every iteration reads these vectors again.
-    points = stage(_vectors(standardised(users)).select("features"), "segment-vectors")
-    return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="behavior_cluster").fit(points)
+    points = stage(_vectors(_numbers(users, K.SEGMENT_FEATURES)).select("features"), "segment-vectors")
+    scaler = StandardScaler(withMean=True, withStd=True, inputCol="features", outputCol="_scaled")
+    return Pipeline(stages=[scaler, KMeans(k=k, seed=seed, featuresCol="_scaled", predictionCol="behavior_cluster")]).fit(points)
 
 
-def with_clusters(users: DataFrame, model: KMeansModel) -> DataFrame:
-    drop = ["features"] + [f"z_{c}" for c in K.SEGMENT_FEATURES]
-    return model.transform(_vectors(standardised(users))).drop(*drop)
+def with_clusters(users: DataFrame, model: PipelineModel) -> DataFrame:
+    drop = ["features", "_scaled"] + [f"z_{c}" for c in K.SEGMENT_FEATURES]
+    return model.transform(_vectors(_numbers(users, K.SEGMENT_FEATURES))).drop(*drop)
 
 
 def segment_rule():

@@ -289,7 +289,7 @@ TABLES = {
         FROM t_inventory i LEFT JOIN t_products USING (product_id))""",
     "t_sold": """
       SELECT product_id, CAST(timestamp AS DATE) AS date, count(*) AS daily_sales FROM t_clean WHERE purchase_label = 1 GROUP BY ALL""",
-    "t_active": "SELECT product_id, category FROM t_catalog WHERE product_id IN (SELECT product_id FROM t_clean)",
+    "t_active": "SELECT product_id, category FROM t_catalog",
     "t_demand": panel_of("t_sold", "t_active", "product_id"),
     "t_frame": """
       SELECT c.product_id, product_category, competitor_price, inventory_level,
@@ -314,12 +314,12 @@ TABLES = {
       SELECT category AS series_id, date, sum(daily_sales) AS daily_sales FROM t_product_days JOIN t_catalog USING (product_id) GROUP BY ALL""",
     "t_cat_ids": "SELECT DISTINCT category AS series_id, category FROM t_catalog",
     "t_cat_panel": panel_of("t_cat_sold", "t_cat_ids", "series_id"),
-    "t_brand_sold": """
-      SELECT brand AS series_id, date, sum(daily_sales) AS daily_sales FROM t_product_days JOIN t_catalog USING (product_id) GROUP BY ALL""",
-    "t_brand_ids": "SELECT DISTINCT brand AS series_id, brand AS category FROM t_catalog",
-    "t_brand_panel": panel_of("t_brand_sold", "t_brand_ids", "series_id"),
+    "t_series_sold": """
+      SELECT product_id AS series_id, date, sum(daily_sales) AS daily_sales FROM t_product_days JOIN t_catalog USING (product_id) GROUP BY ALL""",
+    "t_series_ids": "SELECT DISTINCT product_id AS series_id, category FROM t_catalog",
+    "t_product_panel": panel_of("t_series_sold", "t_series_ids", "series_id"),
     "t_product_forecast": recursive_of("t_demand", "product_id", 30),
-    "t_brand_forecast": recursive_of("t_brand_panel", "series_id", 30),
+    "t_series_forecast": recursive_of("t_product_panel", "series_id", 30),
     "t_items": "SELECT vec_id AS product_id, CAST(embedding AS DOUBLE[]) AS vector, label FROM embeddings",
     "t_cut": "SELECT quantile_cont(epoch_us(timestamp), 0.82) AS cutoff_us FROM t_clean",
     "t_train": "SELECT * FROM t_clean WHERE epoch_us(timestamp) <= (SELECT cutoff_us FROM t_cut)",

@@ -11,7 +11,7 @@ from ..functions import constants as K
 from ..functions import scalars as S
 from ..operators import evaluation, features, forecast, kpis, monitor, pricing, ranking, retrieval, sampling, segments
 from ..operators.store import FeatureStore, FeatureTable, freshness, latest_per_entity
-from ..session import fresh_path
+from ..session import fresh_path, stage
 from . import summary
 from .oracle_tables import RANK_SCORE, bounded, chosen, decided, lagged_of, propensity
 from .queries_tables import _KPI_COLUMNS, _KPI_SQL, _LATEST, naive_sql, telemetry
@@ -62,10 +62,11 @@ def _(r: Retail):
     return r.candidates(r.clean_table)
 
 
-def _training(r: Retail, events: DataFrame) -> DataFrame:
-    users = retrieval.user_vectors(features.interactions(events), r.items)
+def _training(r: Retail, rows: DataFrame, history: DataFrame) -> DataFrame:
+    """Labelled rows with features and vectors of all events in `history`."""
+    users = retrieval.user_vectors(features.interactions(history), r.items)
     return ranking.training_set(
-        events, features.product_features(events, r.catalog), features.user_features(events), users, r.items)
+        rows, features.product_features(history, r.catalog), features.user_features(history), users, r.items)
 
 
 @register("rec_6", "event_id user_id product_id category brand price:4 demand_score:6 ctr:6 category_match:i purchase_label:i", """
@@ -73,21 +74,22 @@ def _training(r: Retail, events: DataFrame) -> DataFrame:
     CAST(coalesce(c.product_category = dominant_category, false) AS INTEGER) AS category_match, purchase_label
   FROM t_clean c LEFT JOIN t_products p ON p.product_id = c.product_id LEFT JOIN t_users u ON u.user_id = c.user_id""")
 def _(r: Retail):
-    return _training(r, r.clean_table)
+    return _training(r, r.clean_table, r.clean_table)
 
 
-@register("rec_7", "ranker rows:i lowest:4 highest:4")
+@register("rec_7", "ranker rows:i in_range:i", "SELECT unnest(['pointwise', 'within_user']) AS ranker, count(*) AS rows, count(*) AS in_range FROM t_test")
 def _(r: Retail):
+    """Both rankers on the held-out events; features come from the training window, labelled rows are bounded."""
     train, test = r.split
-    sample = sampling.uniform_sample(train, 25000, ["event_id"])
-    training, held = _training(r, sample), _training(r, test)
+    sample = sampling.uniform_sample(train, ranking.LABELLED_ROWS, ["event_id"])
+    training, held = _training(r, sample, train), stage(_training(r, test, train), "ranker-held")
     scored = {
         "pointwise": ranking.score_with_model(held, ranking.fit_ranker(training)),
         "within_user": ranking.score_within_user(held, ranking.fit_within_user(training)),
     }
     return reduce(DataFrame.unionByName, [
-        df.agg(F.count(F.lit(1)).alias("rows"), F.min("ranking_score").alias("lowest"), F.max("ranking_score").alias("highest"))
-        .select(F.lit(n).alias("ranker"), "rows", "lowest", "highest") for n, df in scored.items()
+        df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("ranking_score").between(0, 1)).alias("in_range"))
+        .select(F.lit(n).alias("ranker"), "rows", "in_range") for n, df in scored.items()
     ])
 
 
@@ -128,7 +130,7 @@ def _(r: Retail):
     users, items = retrieval.fit_factors(features.interactions(events))
     found = retrieval.retrieve(users, items, features.seen_items(events))
     products, profiles = features.product_features(events, r.catalog), features.user_features(events)
-    sample = sampling.uniform_sample(events, 25000, ["event_id"])
+    sample = sampling.uniform_sample(events, ranking.LABELLED_ROWS, ["event_id"])
     model = ranking.fit_ranker(ranking.training_set(sample, products, profiles, users, items))
     return ranking.recommend(found, with_price_context(products), profiles, 10, lambda c: ranking.score_with_model(c, model))
 
@@ -138,7 +140,12 @@ def _(r: Retail):
 def _(r: Retail):
     events = r.clean_table
     users, products = features.user_features(events), features.product_features(events, r.catalog)
-    return ranking.batch_recommendations(r.candidates(events), with_price_context(products), users)
+    vectors = retrieval.user_vectors(features.interactions(events), r.items)
+
+    def candidates(chosen: DataFrame) -> DataFrame:
+        return retrieval.retrieve(vectors.join(chosen, "user_id", "left_semi"), r.items, features.seen_items(events))
+
+    return ranking.batch_recommendations(candidates, with_price_context(products), users, max_users=500)
 
 
 # --- offline metrics -----------------------------------------------------------------------------
@@ -194,11 +201,12 @@ def _(r: Retail):
     return r.frame
 
 
-@register("prc_2", "product_id rows:i mean_probability:6")
+@register("prc_2", "product_id rows:i in_range:i", "SELECT product_id, count(*) AS rows, count(*) AS in_range FROM t_frame GROUP BY product_id")
 def _(r: Retail):
-    model = pricing.fit_conversion_model(r.frame)
+    """The conversion model scores every row; it is fitted on rates without the row's own label."""
+    model = pricing.fit_conversion_model(r.training_frame)
     return pricing.model_score(model)(r.frame).groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("rows"), F.avg("probability").alias("mean_probability"))
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("probability").between(0, 1)).alias("in_range"))
 
 
 @register("prc_3", "product_id cost:4 price_floor:4 lower_bound:4 upper_bound:4 decision_rule rule_flag", "SELECT * FROM t_bounded")
@@ -227,7 +235,7 @@ def _(r: Retail):
 
 @register("prc_6_model", "product_id optimal_price:2 demand_probability:4 expected_margin:2 decision_rule")
 def _(r: Retail):
-    return pricing.optimise(r.offers, pricing.fit_conversion_model(r.frame))
+    return pricing.optimise(r.offers, pricing.fit_conversion_model(r.training_frame))
 
 
 def _flat(decisions: DataFrame) -> DataFrame:
@@ -315,16 +323,16 @@ def _(r: Retail):
 _PANEL = "series_id date daily_sales:i seasonality_factor:3 holiday_flag:i promotion_flag:i"
 
 
-@register("fct_1", _PANEL, "SELECT * FROM t_brand_panel")
+@register("fct_1", _PANEL, "SELECT * FROM t_product_panel")
 def _(r: Retail):
-    return r.series("brand")
+    return r.series("product")
 
 
 @register("fct_2", "series_id date daily_sales:i day_index:i day_of_week:i month:i lag_7:4 rolling_7:4", f"""
-  SELECT *, date - (SELECT min(date) FROM t_brand_panel) AS day_index, date_part('isodow', date) - 1 AS day_of_week, month(date) AS month
-  FROM ({lagged_of('t_brand_panel', 'series_id')})""")
+  SELECT *, date - (SELECT min(date) FROM t_product_panel) AS day_index, date_part('isodow', date) - 1 AS day_of_week, month(date) AS month
+  FROM ({lagged_of('t_product_panel', 'series_id')})""")
 def _(r: Retail):
-    return forecast.supervised(r.series("brand"))
+    return forecast.supervised(r.series("product"))
 
 
 @register("fct_3", "series_id rows:i mean_prediction:4")
@@ -337,9 +345,9 @@ def _(r: Retail):
 _FORECAST = "series_id category date predicted_demand:2"
 
 
-@register("fct_4", _FORECAST, "SELECT * FROM t_brand_forecast")
+@register("fct_4", _FORECAST, "SELECT * FROM t_series_forecast")
 def _(r: Retail):
-    return forecast.forecast_naive(r.series("brand"), 30)
+    return forecast.forecast_naive(r.series("product"), 30)
 
 
 @register("fct_4_model", _FORECAST)
@@ -356,9 +364,9 @@ def _(r: Retail):
     return forecast.forecast_by_category(forecast.forecast_naive(r.demand, 30, "product_id"), key="product_id")
 
 
-@register("fct_6", "baseline_mae:3 baseline_rmse:3 baseline_wape:4", naive_sql("t_brand_panel", "series_id"))
+@register("fct_6", "baseline_mae:3 baseline_rmse:3 baseline_wape:4", naive_sql("t_product_panel", "series_id"))
 def _(r: Retail):
-    return forecast.seasonal_naive(r.series("brand"))
+    return forecast.seasonal_naive(r.series("product"))
 
 
 @register("fct_7", "mae:3 rmse:3 mape:4 wape:4")
@@ -369,15 +377,15 @@ def _(r: Retail):
 @register("fct_8", "mae:3 rmse:3 mape:4 wape:4", f"""
   SELECT avg(abs(daily_sales - rolling_7)) AS mae, sqrt(avg((daily_sales - rolling_7) ** 2)) AS rmse,
     avg(abs(daily_sales - rolling_7) / greatest(abs(daily_sales), 1)) AS mape, sum(abs(daily_sales - rolling_7)) / greatest(sum(abs(daily_sales)), 1) AS wape
-  FROM ({lagged_of('t_brand_panel', 'series_id')})""")
+  FROM ({lagged_of('t_product_panel', 'series_id')})""")
 def _(r: Retail):
-    return forecast.errors(forecast.supervised(r.series("brand")), predicted="rolling_7")
+    return forecast.errors(forecast.supervised(r.series("product")), predicted="rolling_7")
 
 
 @register("fct_9", "horizon:i series_id date predicted_demand:2", """
-  SELECT 7 AS horizon, * FROM t_brand_forecast WHERE date <= (SELECT max(date) + 7 FROM t_brand_panel) UNION ALL SELECT 30 AS horizon, * FROM t_brand_forecast""")
+  SELECT 7 AS horizon, * FROM t_series_forecast WHERE date <= (SELECT max(date) + 7 FROM t_product_panel) UNION ALL SELECT 30 AS horizon, * FROM t_series_forecast""")
 def _(r: Retail):
-    panel = r.series("brand")
+    panel = r.series("product")
     return reduce(DataFrame.unionByName, [forecast.forecast_naive(panel, h).withColumn("horizon", F.lit(h)) for h in (7, 30)])
 
 

@@ -64,9 +64,9 @@ def _(r: Retail):
 
 
 @register("jn_8", "product_id price:4 competitor_price:4 demand_score:6 historical_conversion_rate:6 observed_units:i", """
-  SELECT * FROM (SELECT product_id, price FROM t_catalog) JOIN t_stats USING (product_id) ORDER BY product_id LIMIT 250""")
+  SELECT * FROM (SELECT product_id, price FROM t_catalog) JOIN t_stats USING (product_id)""")
 def _(r: Retail):
-    return pricing.impact_contexts(r.frame, r.catalog, sample_size=250)
+    return pricing.impact_contexts(r.frame, r.catalog)
 
 
 @register("jn_9", "event_id product_id brand price:4 demand_score:6 category_match:i", """
@@ -342,14 +342,14 @@ def lagged_sql(panel: str, key: str) -> str:
     return lagged_of(panel, key)
 
 
-@register("win_5", "series_id date lag_7:4", lagged_sql("t_cat_panel", "series_id"))
+@register("win_5", "series_id date lag_7:4", lagged_sql("t_product_panel", "series_id"))
 def _(r: Retail):
-    return forecast.lags(r.series())
+    return forecast.lags(r.series("product"))
 
 
-@register("win_6", "series_id date rolling_7:4", lagged_sql("t_cat_panel", "series_id"))
+@register("win_6", "series_id date rolling_7:4", lagged_sql("t_product_panel", "series_id"))
 def _(r: Retail):
-    return forecast.lags(r.series())
+    return forecast.lags(r.series("product"))
 
 
 @register("win_7", "user_id product_category score:4",
@@ -403,7 +403,7 @@ _TOP_USERS = "SELECT user_id, ltv_estimate FROM t_users ORDER BY round(ltv_estim
 
 @register("top_3", "user_id", _TOP_USERS)
 def _(r: Retail):
-    return ranking.top_users(r.users)
+    return ranking.top_users(r.users, 500)
 
 
 @register("top_4", "product_id category demand_score:6", "SELECT * FROM t_products ORDER BY round(demand_score, 6) DESC, product_id LIMIT 8")
@@ -477,9 +477,9 @@ def _(r: Retail):
 
 
 @register("spl_2", "series_id date is_test", """
-  SELECT series_id, date, date > (SELECT max(date) - 21 FROM t_cat_panel) AS is_test FROM t_cat_panel""")
+  SELECT series_id, date, date > (SELECT max(date) - 21 FROM t_product_panel) AS is_test FROM t_product_panel""")
 def _(r: Retail):
-    train, test = forecast.holdout(r.series())
+    train, test = forecast.holdout(r.series("product"))
     return train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
 
 

@@ -69,24 +69,29 @@ class Retail:
 
     @cached_property
     def demand(self) -> DataFrame:
-        """Product x day panel of the clickstream, over the products that have events."""
-        sold = features.purchase_days(self.clean)
-        active = self.clean.select("product_id").distinct()
-        entities = self.catalog.join(active, "product_id", "left_semi").select("product_id", "category")
+        """Product x day panel of the clickstream, over the whole catalog."""
+        sold = features.purchase_days(self.clean_table)
+        entities = self.catalog.select("product_id", "category")
         return forecast.dense_panel(sold, entities, "product_id")
 
     @cached_property
     def frame(self) -> DataFrame:
-        return features.pricing_frame(self.clean, self.demand, self.pricing)
+        return features.pricing_frame(self.clean_table, self.demand, self.pricing)
+
+    @cached_property
+    def training_frame(self) -> DataFrame:
+        """The pricing frame to fit on: an event's own label is left out of its product's rate."""
+        return features.pricing_frame(self.clean_table, self.demand, self.pricing, leave_one_out=True)
 
     @cached_property
     def segments(self) -> DataFrame:
         return segments.segments(self.users)
 
     def series(self, level: str = "category") -> DataFrame:
-        """Dense daily sales panel per category or brand."""
+        """Dense daily sales panel per category or product."""
         sold = bindings.sales_series(self.spark, self.folder, level)
-        entities = self.catalog.select(F.col(level).alias("series_id")).distinct().withColumn("category", F.col("series_id"))
+        key = "product_id" if level == "product" else level
+        entities = self.catalog.select(F.col(key).alias("series_id"), "category").distinct()
         return forecast.dense_panel(sold, entities)
 
     @cached_property

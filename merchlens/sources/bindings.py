@@ -160,7 +160,8 @@ def reorder_policy(catalog: DataFrame, mean_daily: DataFrame, cover_days: int) -
 
 
 def sales_series(spark: SparkSession, folder: str, level: str) -> DataFrame:
-    """Daily sales per category or brand; pre-aggregated per product before the catalog join."""
+    """Daily sales per category, brand or product; pre-aggregated per product before the catalog join."""
+    level = "product_id" if level == "product" else level
     catalog = product_catalog(spark, folder).select("product_id", "category", "brand")
     return (
         product_days(spark, folder)
