@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 from ..functions import scalars as S
 from ..session import stage
 from . import block_top_k
+from .ordering import number_rows
 
 # Ship the task-side code with the job: executors need numpy and pandas only, not this package.
 cloudpickle.register_pickle_by_value(block_top_k)
@@ -49,18 +50,22 @@ def item_attributes(catalog: DataFrame) -> DataFrame:
 NUMERIC_ATTRIBUTES = ["log_price", "margin_rate", "rating_share", "log_reviews", "log_stock"]
 
 
-def item_content_vectors(attributes: DataFrame, vectors: DataFrame, image_size: int = 8, buckets: int = 64) -> DataFrame:
-    """Content vector: numeric attributes, category and brand indicators, image part.
+def item_content_vectors(attributes: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Content vector: numeric attributes, one indicator for each category and each brand, the whole stored vector.
 
-    Indicators are hashed to a fixed width, so no list of brands passes through the driver.
+    The values are numbered by a sort, so no list of brands passes through the driver; only their number does. A vector is as wide as
+    there are categories and brands.
     """
-    def indicator(c: str):
-        slot = F.pmod(F.xxhash64(c), F.lit(buckets))
-        return F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda i: F.when(i == slot, 1.0).otherwise(0.0))
-
-    joined = attributes.join(vectors, "product_id", "left")
-    parts = [F.array(*NUMERIC_ATTRIBUTES), indicator("category"), indicator("brand"), S.pad_vector("vector", image_size)]
-    return joined.select("product_id", F.concat(*parts).alias("vector"))
+    joined, parts = attributes, [F.array(*NUMERIC_ATTRIBUTES)]
+    for c in ("category", "brand"):
+        numbered = number_rows(attributes.where(F.col(c).isNotNull()).select(c).distinct(), [c], f"_{c}")
+        width = max(1, numbered.count())
+        joined = joined.join(numbered, c, "left")
+        slot = F.col(f"_{c}")
+        parts.append(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i, slot=slot: F.when(i == slot, 1.0).otherwise(0.0)))
+    wide = vectors.agg(F.max(F.size("vector")).alias("n")).first().n or 0
+    parts.append(S.pad_vector("vector", wide))
+    return joined.join(vectors, "product_id", "left").select("product_id", F.concat(*parts).alias("vector"))
 
 
 def user_vectors(interactions: DataFrame, items: DataFrame) -> DataFrame:

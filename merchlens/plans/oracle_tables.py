@@ -364,10 +364,10 @@ TABLES = {
       FROM t_frame GROUP BY product_id""",
     "t_impact": chosen(bounded("""
       SELECT product_id, price, margin, price_elasticity_score, rating, t_stats.* EXCLUDE (product_id) FROM t_catalog JOIN t_stats USING (product_id)""")),
-    "t_telemetry": """
-      SELECT CAST(ts AS DATE) AS date, CASE event_type WHEN 'view' THEN 'two_stage_recommender' WHEN 'click' THEN 'two_stage_recommender'
-          WHEN 'purchase' THEN 'dynamic_pricing' ELSE 'demand_forecaster' END AS model_name,
-        count(*) AS prediction_volume, avg(value) AS average_latency_ms FROM events GROUP BY ALL""",
+    "t_group_volumes": """
+      SELECT CAST(ts AS DATE) AS date, CASE event_type WHEN 'view' THEN 'browsing' WHEN 'click' THEN 'browsing'
+          WHEN 'purchase' THEN 'purchase' ELSE 'other' END AS event_group,
+        count(*) AS event_volume, avg(value) AS average_value FROM events GROUP BY ALL""",
 }
 
 

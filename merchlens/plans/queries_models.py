@@ -14,7 +14,7 @@ from ..operators.store import FeatureStore, FeatureTable, freshness, latest_per_
 from ..session import fresh_path, stage
 from . import summary
 from .oracle_tables import RANK_SCORE, bounded, chosen, decided, lagged_of, propensity
-from .queries_tables import _KPI_COLUMNS, _KPI_SQL, _LATEST, naive_sql, telemetry
+from .queries_tables import _KPI_COLUMNS, _KPI_SQL, _LATEST, group_volumes, naive_sql
 from .registry import register
 from .tables import Retail, with_price_context
 
@@ -490,8 +490,8 @@ def _(r: Retail):
 
 # --- monitoring ----------------------------------------------------------------------------------
 
-@register("mon_1", "date clickstream_volume:i prediction_volume:i", """
-  SELECT CAST(timestamp AS DATE) AS date, count(*) AS clickstream_volume, count(*) FILTER (event_type IN ('view', 'click')) AS prediction_volume
+@register("mon_1", "date clickstream_volume:i browsing_volume:i", """
+  SELECT CAST(timestamp AS DATE) AS date, count(*) AS clickstream_volume, count(*) FILTER (event_type IN ('view', 'click')) AS browsing_volume
   FROM t_clean GROUP BY ALL""")
 def _(r: Retail):
     return monitor.daily_volumes(r.clean)
@@ -569,12 +569,12 @@ def _(r: Retail):
     return monitor.guardrail_violations(chosen_days.select("date", pricing.guardrails().alias("guardrail_flags")))
 
 
-@register("mon_8", "model_name date prediction_volume:i average_latency_ms:4 mean_latency:2 total_volume:i", f"""
-  SELECT *, (SELECT avg(average_latency_ms) FROM t_telemetry) AS mean_latency, (SELECT sum(prediction_volume) FROM t_telemetry) AS total_volume FROM ({_LATEST})""")
+@register("mon_8", "event_group date event_volume:i average_value:4 mean_value:2 total_volume:i", f"""
+  SELECT *, (SELECT avg(average_value) FROM t_group_volumes) AS mean_value, (SELECT sum(event_volume) FROM t_group_volumes) AS total_volume FROM ({_LATEST})""")
 def _(r: Retail):
-    totals = monitor.telemetry_totals(telemetry(r)).select(F.struct("inference_latency_ms", "prediction_volume").alias("t")).scalar()
-    return monitor.latest_per_model(telemetry(r)).withColumns({
-        "mean_latency": totals["inference_latency_ms"], "total_volume": totals["prediction_volume"]})
+    totals = monitor.volume_totals(group_volumes(r)).select(F.struct("mean_value", "total_volume").alias("t")).scalar()
+    return monitor.latest_per_group(group_volumes(r)).withColumns({
+        "mean_value": totals["mean_value"], "total_volume": totals["total_volume"]})
 
 
 # --- the whole summary ---------------------------------------------------------------------------

@@ -13,7 +13,7 @@ from ..functions import scalars as S
 from ..operators import evaluation, features, forecast, kpis, monitor, ordering, pricing, ranking, retrieval, sampling, segments
 from ..sources import bindings
 from .oracle_tables import SCORE, WEIGHT, case, hash32
-from .registry import register
+from .registry import QUERIES, register
 from .tables import Retail
 
 # --- joins ---------------------------------------------------------------------------------------
@@ -360,20 +360,20 @@ def _(r: Retail):
     return scores.withColumn("_rn", F.row_number().over(first)).where("_rn = 1")
 
 
-def telemetry(r: Retail) -> DataFrame:
-    """Daily volume and mean handling time per model, taken from the events each model serves."""
-    model = F.when(F.col("event_type").isin("view", "click"), "two_stage_recommender").when(
-        F.col("event_type") == "purchase", "dynamic_pricing").otherwise("demand_forecaster")
-    return r.table("events").groupBy(F.col("ts").cast("date").alias("date"), model.alias("model_name")).agg(
-        F.count(F.lit(1)).alias("prediction_volume"), F.avg("value").alias("average_latency_ms"))
+def group_volumes(r: Retail) -> DataFrame:
+    """Daily number of events and mean event value of browsing, purchases and the rest."""
+    group = F.when(F.col("event_type").isin("view", "click"), "browsing").when(
+        F.col("event_type") == "purchase", "purchase").otherwise("other")
+    return r.table("events").groupBy(F.col("ts").cast("date").alias("date"), group.alias("event_group")).agg(
+        F.count(F.lit(1)).alias("event_volume"), F.avg("value").alias("average_value"))
 
 
-_LATEST = "SELECT * FROM t_telemetry QUALIFY row_number() OVER (PARTITION BY model_name ORDER BY date DESC) = 1"
+_LATEST = "SELECT * FROM t_group_volumes QUALIFY row_number() OVER (PARTITION BY event_group ORDER BY date DESC) = 1"
 
 
-@register("win_8", "model_name date prediction_volume:i average_latency_ms:4", _LATEST)
+@register("win_8", "event_group date event_volume:i average_value:4", _LATEST)
 def _(r: Retail):
-    return monitor.latest_per_model(telemetry(r))
+    return monitor.latest_per_group(group_volumes(r))
 
 
 @register("win_9", "user_id rank:i product_id", "SELECT * FROM t_recommended")
@@ -483,6 +483,16 @@ def _(r: Retail):
     return train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
 
 
+@register("unp_1_metrics", "model variable value:4", f"""
+  SELECT model, variable, value FROM (
+    SELECT model, unnest(['catalog_coverage', 'diversity', 'estimated_revenue_uplift', 'baseline_wape']) AS variable,
+      unnest([CAST(catalog_coverage AS DOUBLE), CAST(diversity AS DOUBLE), CAST(estimated_revenue_uplift AS DOUBLE), CAST(baseline_wape AS DOUBLE)]) AS value
+    FROM ({QUERIES['agg_20'].sql})) WHERE value IS NOT NULL""")
+def _(r: Retail):
+    metrics = QUERIES["agg_20"].build(r).select("model", "catalog_coverage", "diversity", "estimated_revenue_uplift", "baseline_wape")
+    return kpis.long_metrics(metrics)
+
+
 @register("unp_1", "product_id variable value:2", """
   SELECT product_id, 'current_price' AS variable, current_price AS value FROM t_decisions
   UNION ALL SELECT product_id, 'optimal_price', optimal_price FROM t_decisions""")
