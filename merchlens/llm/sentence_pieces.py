@@ -27,7 +27,7 @@ from .text import prepare, slices
 SPACE = "▁"
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 _NONE = np.iinfo(np.int32).max
-REMEMBERED = 300_000  # words that a worker keeps encoded
+REMEMBERED = 150_000  # words that a worker keeps encoded
 
 
 class PairTable:

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 ROWS_PER_BATCH, BYTES_PER_BATCH = 256, 16 << 20
 
 _SEPARATOR = np.zeros(256, bool)
