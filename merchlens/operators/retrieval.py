@@ -167,14 +167,23 @@ def pair_scores(pairs: DataFrame, users: DataFrame, items: DataFrame, out: str =
 
 
 def fit_factors(interactions: DataFrame, rank: int = 48, iterations: int = 8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Implicit-feedback factorisation; unit-length user and item vectors."""
+    """Implicit-feedback factorisation; unit-length user and item vectors.
+
+    The solver takes 32-bit numbers, so users and items are numbered first; ids may be any bigint.
+    """
+    positive = stage(interactions.where("score > 0").select("user_id", "product_id", "score"), "interactions")
+    numbers = {c: number_rows(positive.select(c).distinct(), [c], f"_{c}") for c in ("user_id", "product_id")}
+    numbered = positive
+    for c, n in numbers.items():
+        numbered = numbered.join(n.withColumn(f"_{c}", F.col(f"_{c}").cast("int")), c)
     model = ALS(
-        userCol="user_id", itemCol="product_id", ratingCol="score", implicitPrefs=True, rank=rank, maxIter=iterations,
+        userCol="_user_id", itemCol="_product_id", ratingCol="score", implicitPrefs=True, rank=rank, maxIter=iterations,
         seed=seed, coldStartStrategy="drop",
-    ).fit(stage(interactions.where("score > 0"), "interactions"))
+    ).fit(stage(numbered.select("_user_id", "_product_id", "score"), "interactions-numbered"))
 
     def unit(factors: DataFrame, key: str) -> DataFrame:
-        return factors.select(F.col("id").cast("bigint").alias(key), S.l2_normalised(F.col("features").cast("array<double>")).alias("vector"))
+        own = factors.join(numbers[key], F.col("id") == F.col(f"_{key}"))
+        return own.select(key, S.l2_normalised(F.col("features").cast("array<double>")).alias("vector"))
 
     return unit(model.userFactors, "user_id"), unit(model.itemFactors, "product_id")
 

@@ -124,19 +124,24 @@ def _(r: Retail):
 
 
 @register("str_2", "user_id session_start session_end events:i purchases:i", """
-  SELECT user_id, session_start, session_end, events, purchases FROM t_session_features
-  WHERE session_end + INTERVAL 30 MINUTE <= (SELECT max(timestamp) FROM t_clean) - INTERVAL 1 HOUR""")
+  SELECT user_id, session_start, session_end, events, purchases FROM t_session_features""")
 def _(r: Retail):
+    """Closed sessions from the stream, those still open at its end from a batch pass."""
     out = stream.drain(stream.session_stream(_clean_stream(r)), "session-stream")
-    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
+    closed = out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
+    batch = stream.session_stream(r.clean_table)
+    return closed.unionByName(stream.still_open(batch, F.col("session_end") + F.expr(f"INTERVAL {K.SESSION_GAP_MINUTES} MINUTES"), r.clean_table))
 
 
 @register("str_3", "date product_id events:i views:i purchases:i revenue:4", """
   SELECT CAST(timestamp AS DATE) AS date, product_id, count(*) AS events, count(*) FILTER (event_type = 'view') AS views,
     sum(purchase_label) AS purchases, sum(product_price * (1 - discount_percentage) * purchase_label) AS revenue
-  FROM t_clean WHERE CAST(timestamp AS DATE) + INTERVAL 1 DAY <= (SELECT max(timestamp) FROM t_clean) - INTERVAL 1 HOUR GROUP BY ALL""")
+  FROM t_clean GROUP BY ALL""")
 def _(r: Retail):
-    return stream.drain(stream.daily_features(_clean_stream(r), "product_id"), "daily-stream")
+    """Closed days from the stream, the days still open at its end from a batch pass."""
+    closed = stream.drain(stream.daily_features(_clean_stream(r), "product_id"), "daily-stream")
+    batch = stream.daily_features(r.clean_table, "product_id")
+    return closed.unionByName(stream.still_open(batch, F.col("date").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY"), r.clean_table))
 
 
 @register("str_4", "event_id user_id product_id rank:i event_type", """

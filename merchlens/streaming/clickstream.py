@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +48,12 @@ def session_stream(events: DataFrame, gap_minutes: int = K.SESSION_GAP_MINUTES)
     ).drop("session_window")
 
 
+def still_open(results: DataFrame, end: Column, events: DataFrame) -> DataFrame:
+    """Rows of a batch result whose window a drained stream over the same events has not closed."""
+    newest = events.agg(F.max("timestamp")).scalar()
+    return results.where(end > newest - F.expr(f"INTERVAL {WATERMARK}"))
+
+
 def daily_features(events: DataFrame, key: str) -> DataFrame:
     """Event counts and revenue per key and day, emitted when the day is closed."""
     return events.groupBy(F.window("timestamp", "1 day"), key).agg(
