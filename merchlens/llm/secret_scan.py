@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .text import prepare, slices
 
 # Fixed rules: pattern, group that holds the value, least length of the value.
@@ -191,7 +192,7 @@ def labelled(docs: DataFrame, per_kind: int = PER_KIND) -> dict[str, list[str]]:
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.string()), pa.array([v for _, v in found], pa.string())], ["kind", "value"])
 
     values = docs.select("text").mapInArrow(run, "kind string, value string").groupBy("kind", "value").count()
-    values = values.select("kind", "value", F.xxhash64("value").alias("spot"))
+    values = stage(values.select("kind", "value", F.xxhash64("value").alias("spot")), "labelled-values")  # one pass over the texts
     out = {}
     for kind in RULES:
         rows = values.where(F.col("kind") == kind).orderBy("spot", "value").limit(per_kind).collect()
