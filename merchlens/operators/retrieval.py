@@ -56,13 +56,15 @@ def item_content_vectors(attributes: DataFrame, vectors: DataFrame) -> DataFrame
     The values are numbered by a sort, so no list of brands passes through the driver; only their number does. A vector is as wide as
     there are categories and brands.
     """
+    def indicator(slot, width: int):
+        return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.when(i == slot, 1.0).otherwise(0.0))
+
     joined, parts = attributes, [F.array(*NUMERIC_ATTRIBUTES)]
     for c in ("category", "brand"):
         numbered = number_rows(attributes.where(F.col(c).isNotNull()).select(c).distinct(), [c], f"_{c}")
         width = max(1, numbered.count())
         joined = joined.join(numbered, c, "left")
-        slot = F.col(f"_{c}")
-        parts.append(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i, slot=slot: F.when(i == slot, 1.0).otherwise(0.0)))
+        parts.append(indicator(F.col(f"_{c}"), width))
     wide = vectors.agg(F.max(F.size("vector")).alias("n")).first().n or 0
     parts.append(S.pad_vector("vector", wide))
     return joined.join(vectors, "product_id", "left").select("product_id", F.concat(*parts).alias("vector"))

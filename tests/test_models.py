@@ -200,6 +200,41 @@ def test_clusters_cover_all_users(spark, folder):
     assert got.count() == r.users.count() and got.where(~F.col("behavior_cluster").between(0, 2)).count() == 0
 
 
+def test_saved_clusters_score_a_part_as_the_whole(spark, folder):
+    from pyspark.ml import PipelineModel
+
+    r = Retail(spark, folder)
+    model, path = segments.fit_clusters(r.users, k=3), fresh_path(spark, "clusters")
+    model.write().overwrite().save(path)
+    whole = {x.user_id: x.behavior_cluster for x in segments.with_clusters(r.users, model).collect()}
+    some = segments.with_clusters(r.users.where("user_id % 3 = 0"), PipelineModel.load(path)).collect()
+    assert some and all(whole[x.user_id] == x.behavior_cluster for x in some)
+
+
+def test_within_user_scores_are_not_saturated(spark, folder):
+    r = Retail(spark, folder)
+    events = r.clean_table
+    users = retrieval.user_vectors(features.interactions(events), r.items)
+    training = ranking.training_set(events, r.products, r.users, users, r.items)
+    scored = ranking.score_within_user(training, ranking.fit_within_user(training))
+    got = scored.agg(F.stddev("ranking_score").alias("s"), F.avg("ranking_score").alias("m")).first()
+    assert got.s > 0.01 and abs(got.m - 0.5) < 0.1
+    auc = scored.crossJoin(F.broadcast(scored.select(F.avg("ranking_score").alias("mean")).limit(1)))
+    above = auc.groupBy("purchase_label").agg(F.avg((F.col("ranking_score") > F.col("mean")).cast("double")).alias("share")).collect()
+    share = {x.purchase_label: x.share for x in above}
+    assert share[1] > share[0]
+
+
+def test_content_vectors_tell_every_brand_apart(spark):
+    rows = [(i, f"c{i % 3}", None if i == 7 else f"b{i}", 0.0, 0.0, 0.0, 0.0, 0.0) for i in range(40)]
+    cols = "product_id bigint, category string, brand string, " + ", ".join(f"{c} double" for c in retrieval.NUMERIC_ATTRIBUTES)
+    vectors = spark.createDataFrame([(i, [float(i)] * 12) for i in range(0, 40, 2)], "product_id bigint, vector array<double>")
+    got = {r.product_id: r.vector for r in retrieval.item_content_vectors(spark.createDataFrame(rows, cols), vectors).collect()}
+    assert {len(v) for v in got.values()} == {5 + 3 + 39 + 12}
+    assert all(sum(v[5:8]) == 1 and sum(v[8:47]) == (i != 7) and v[47:] == [float(i) * (i % 2 == 0)] * 12 for i, v in got.items())
+    assert len({tuple(v[8:47]) for v in got.values()}) == 40
+
+
 def test_feature_store_versions_and_registry(spark):
     root = fresh_path(spark, "store-test")
     frame = spark.createDataFrame([("U1", 0.2, 120.0), ("U1", 0.3, 130.0)], "user_id string, ctr double, ltv double")
