@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ..session import stage
 from .text import mix, prepare, slices, words_of
 
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 4 << 20
 PER_PARTITION = 1_500_000  # tokens for each partition of the hash range
 HELD = 3  # remainder of the training documents that the weights are learned from
 BUCKETS, BINS = 24, 96  # context frequencies by powers of two; ratios by half powers of two, bin 0: the estimate is 0
