@@ -9,7 +9,7 @@ The scan of the corpus has no shuffle before its hits: the benchmark's seeds are
 many slices as the benchmark needs. Hits are counted per (document, item, alignment) on the map side.
 
 Nulls: a null text (of a document or an item) has no tokens. Items with fewer tokens than a mask is long (11) cannot be seeded and are
-found by no document. Rows without a doc_id are searched like others. Rows that share a doc_id are one document: the result has each
+found by no document, like items without an id. Rows without a doc_id are searched like others. Rows that share a doc_id are one document: the result has each
 (doc_id, item_id) once. Extra columns are not read.
 """
 
@@ -51,15 +51,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 20, identity: int
 
     shift is the document token under the item's first token, start the first compared item token.
     """
-    items = benchmark.select("item_id", _hashed().alias("tok"))
+    items = benchmark.select("item_id", _hashed().alias("tok")).where(F.size("tok") >= SPAN)  # as many tokens as seeds, about
     seeds = _positions(items, "item_id").select("item_id", F.col("at").alias("item_at"), _seeds())
     slices = -(-seeds.count() // SEEDS_PER_SLICE)
     scanned = _positions(docs.select("doc_id", _hashed().alias("tok")), "doc_id").select("doc_id", "tok", "at", _seeds())
     found = None
     for k in range(slices):
-        part = seeds if slices == 1 else seeds.where(F.pmod(F.xxhash64("item_id", "item_at", "seed"), F.lit(slices)) == k)
-        # Both are bounded: a slice of seeds, and the items these seeds come from.
-        own = items if slices == 1 else items.join(F.broadcast(part.select("item_id").distinct()), "item_id", "left_semi")
+        # Whole items, so a slice's items are bounded with its seeds.
+        mine = F.pmod(F.xxhash64("item_id"), F.lit(slices)) == k
+        part, own = (seeds, items) if slices == 1 else (seeds.where(mine), items.where(mine))
         one = _verified(scanned.join(F.broadcast(part), "seed"), own, window, identity)
         found = one if found is None else found.unionByName(one)
     if found is None:
