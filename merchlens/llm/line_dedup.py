@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from ..operators.ordering import number_rows, running_total
 from ..session import stage
 
-_BLOCKS = 16  # bits of the hash range, or of positions, that make a block of a running count
+_BLOCKS = 16  # bits of the hash range, or of ranks, that make a block of a running count
+_PLACES = 14  # bits of places in the array that make a block
 _LAST = (1 << 63) - 1
 _DOC = ["o", "k"]
 
@@ -99,6 +100,7 @@ def _common_prefix(neighbours: DataFrame, levels: list[DataFrame]) -> DataFrame:
             on = (F.col(f"o{side}") == F.col("_o")) & (F.col(f"k{side}") == F.col("_k")) & (F.col(f"n{side}") + F.col("lcp") == F.col("_n"))
             out = out.join(there, on, "left").drop("_o", "_k", "_n")
         out = out.withColumn("lcp", F.when(F.col("r1") == F.col("r2"), F.col("lcp") + (1 << k)).otherwise(F.col("lcp"))).drop("r1", "r2")
+        out = stage(out, "lcp")  # one plan for each round, not one of all rounds
     return out
 
 
@@ -112,9 +114,9 @@ def repeated_runs(docs: DataFrame, min_lines: int = 2) -> DataFrame:
     before = array.select((F.col("place") + 1).alias("place"), *[F.col(c).alias(f"{c}2") for c in (*_DOC, "n")])
     after = array.select("place", *[F.col(c).alias(f"{c}1") for c in (*_DOC, "n")])
     common = _common_prefix(after.join(before, "place", "left"), levels)
-    marked = stage(common.select("place", F.col("o1").alias("o"), F.col("k1").alias("k"), F.col("n1").alias("n"), "lcp"), "lcp")
+    marked = common.select("place", F.col("o1").alias("o"), F.col("k1").alias("k"), F.col("n1").alias("n"), "lcp")
     cut = F.when(F.col("lcp") < min_lines, 1).otherwise(0)
-    blocked = marked.withColumn("one", F.lit(1)).withColumn("block", F.floor(F.col("place") / (1 << _BLOCKS)))
+    blocked = marked.withColumn("one", F.lit(1)).withColumn("block", F.floor(F.col("place") / (1 << _PLACES)))
     intervals = running_total(blocked, ["one"], "block", ["place"], cut, "interval").select("o", "k", "n", "lcp", "interval")
     earliest = intervals.groupBy("interval").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("o", "k", "n")).alias("first")).where("copies > 1").select("interval", "first")
     return intervals.join(earliest, "interval").where(F.struct("o", "k", "n") != F.col("first")).select("o", "k", "n", "lcp")
