@@ -10,6 +10,9 @@ whose prefix has `min_lines` lines or more form an interval; it is one repeated
 and line number, stays, and the first `min_lines` lines of every other copy go. A longer run is covered by the intervals of all the
 positions in it, so maximal runs go as a whole. Copies may overlap: of five equal lines only the first stays if runs of two count.
 
+A run of fewer lines counts by its content: with `min_words`, a repeated line of that many words or more is a run on its own, also where
+no neighbour is repeated, so all its later copies go. The first occurrence of a line stays under both rules.
+
 Load: neither lines nor ranks are gathered by key. Groups are counted by aggregates, running counts inside a group are cut into blocks of
 the rank range, and joins with a hot line are of a shape that adaptive execution can split. Only a document's own positions meet in one row.
 
@@ -104,9 +107,9 @@ def _common_prefix(neighbours: DataFrame, levels: list[DataFrame]) -> DataFrame:
     return out
 
 
-def repeated_runs(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_lines: int = 2, ranks: tuple | None = None) -> DataFrame:
     """(o, k, n): positions at which a later copy of a run of `min_lines` lines starts, with `lcp`, the lines in common with its neighbour."""
-    final, levels = suffix_ranks(docs)
+    final, levels = ranks or suffix_ranks(docs)
     if final is None:
         empty = docs.sparkSession.createDataFrame([], "o bigint, k bigint, n int, lcp bigint")
         return empty
@@ -122,19 +125,41 @@ def repeated_runs(docs: DataFrame, min_lines: int = 2) -> DataFrame:
     return intervals.join(earliest, "interval").where(F.struct("o", "k", "n") != F.col("first")).select("o", "k", "n", "lcp")
 
 
-def marks(docs: DataFrame, min_lines: int = 2) -> DataFrame:
-    """A row for each row of docs: doc_id, n_lines, removed (numbers of the lines that go, from 0), text_key."""
-    copies = repeated_runs(docs, min_lines)
-    gone = copies.select(*_DOC, F.explode(F.sequence(F.col("n"), F.col("n") + min_lines - 1)).alias("line"))
-    listed = gone.groupBy(*_DOC).agg(F.sort_array(F.collect_set("line")).alias("removed"))  # of one document
-    every = _keyed(docs).select("doc_id", *_DOC, F.when(F.col("text").isNull(), 0).otherwise(F.size(_lines())).cast("bigint").alias("n_lines"))
+def _later_lines(first: DataFrame) -> DataFrame:
+    """(o, k, n): positions (o, k, n, r) whose line, told by its first rank r, occurs earlier."""
+    earliest = first.groupBy("r").agg(F.min(F.struct("o", "k", "n")).alias("first"))
+    return first.join(earliest, "r").where(F.struct("o", "k", "n") != F.col("first")).select(*_DOC, "n")
+
+
+def _long_lines(min_words: int) -> Column:
+    """Numbers of the lines with `min_words` words or more."""
+    long = F.transform(_lines(), lambda line, i: F.when(F.size(F.array_remove(F.split(line, r"[\x20\x09-\x0D]+"), "")) >= min_words, i))
+    return F.array_compact(long)
+
+
+def marks(docs: DataFrame, min_lines: int = 2, min_words: int | None = None) -> DataFrame:
+    """A row for each row of docs: doc_id, n_lines, removed (numbers of the lines that go, from 0), text_key.
+
+    min_words: a repeated line of so many words is a run whatever its neighbours; without it runs count by their lines alone.
+    """
+    ranks = suffix_ranks(docs)
+    copies = repeated_runs(docs, min_lines, ranks)
+    gone = copies.select(*_DOC, F.explode(F.sequence(F.col("n"), F.col("n") + min_lines - 1)).alias("line"), F.lit(True).alias("run"))
+    singles = min_words is not None and bool(ranks[1])
+    if singles:
+        gone = gone.unionByName(_later_lines(ranks[1][0]).select(*_DOC, F.col("n").alias("line"), F.lit(False).alias("run")))
+    of_run = F.sort_array(F.collect_set(F.when(F.col("run"), F.col("line"))))
+    listed = gone.groupBy(*_DOC).agg(of_run.alias("removed"), F.collect_set(F.when(~F.col("run"), F.col("line"))).alias("alone"))  # of one document
     nothing = F.array().cast("array<int>")
-    return every.join(listed, _DOC, "left").select("doc_id", "n_lines", F.coalesce("removed", nothing).alias("removed"), F.col("k").alias("text_key"))
+    long = F.when(F.col("text").isNotNull(), _long_lines(min_words)) if singles else nothing
+    every = _keyed(docs).select("doc_id", *_DOC, F.when(F.col("text").isNull(), 0).otherwise(F.size(_lines())).cast("bigint").alias("n_lines"), long.alias("long"))
+    removed = F.array_sort(F.array_union("removed", F.array_intersect("alone", "long"))) if singles else F.col("removed")
+    return every.join(listed, _DOC, "left").select("doc_id", "n_lines", F.coalesce(removed, nothing).alias("removed"), F.col("k").alias("text_key"))
 
 
-def dedup(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+def dedup(docs: DataFrame, min_lines: int = 2, min_words: int | None = None) -> DataFrame:
     """docs without the lines of later copies; a null text stays null, and all columns stay."""
-    changed = marks(docs, min_lines).where(F.size("removed") > 0).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("removed").alias("_removed")).distinct()
+    changed = marks(docs, min_lines, min_words).where(F.size("removed") > 0).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("removed").alias("_removed")).distinct()
     keyed = docs.withColumn("_k", F.xxhash64(F.lit(1), "text"))
     joined = keyed.join(changed, keyed["doc_id"].eqNullSafe(changed["_id"]) & (F.col("_k") == F.col("_key")), "left")
     stay = F.array_join(F.filter(_lines(), lambda line, i: ~F.array_contains("_removed", i)), "\n")

@@ -63,8 +63,11 @@ SELECT doc_id, n_words, n_removed, sha256(kept) AS kept_sha256 FROM f
 """
 
 
+MIN_WORDS = 8  # a repeated line of so many words goes whatever its neighbours
+
+
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    found = line_dedup.marks(documents(spark, folder), min_lines=2)
+    found = line_dedup.marks(documents(spark, folder), min_lines=2, min_words=MIN_WORDS)
     removed = F.array_join(F.col("removed").cast("array<string>"), ",")
     return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), removed.alias("removed"))
 

@@ -6,7 +6,7 @@ import random
 import re
 
 from llm.common import frame, lower, odd_rows, roots, variants, words
-from merchlens.llm import components, exact_dedup, line_dedup, minhash, substring_dedup
+from merchlens.llm import components, exact_dedup, line_dedup, minhash, queries_dedup, substring_dedup
 
 
 def test_fingerprints_compose():
@@ -98,6 +98,26 @@ def test_line_dedup(spark):
     assert texts[102] == "x\ny\nz" and texts[100] is None
 
 
+def test_repeated_lines_without_repeated_neighbours(spark):
+    long, other, short = "one two three four five six seven eight", "a b  c d e f g\th i", "too short to count"
+    rows = [(1, long), (2, long), (3, f"x1\n{long}\ny1"), (4, f"{short}\nx2"), (5, f"x3\n{short}"), (6, f"x4\n\n{other}\n{other}"), (7, f"p\nq\n\n{other}"), (8, "p\nq\nx5"), (None, other), (9, None)]
+    got = {r.doc_id: list(r.removed) for r in line_dedup.marks(frame(spark, rows), 2, 8).collect()}
+    # 8: two short lines are a run together; 4 and 5: one short line is none.
+    assert got == {1: [], 2: [0], 3: [1], 4: [], 5: [], 6: [3], 7: [2, 3], 8: [0, 1], None: [0], 9: []}
+    assert line_dedup.dedup(frame(spark, rows), 2, 8).where("doc_id = 3").first().text == "x1\ny1"
+
+
+def test_op4_removes_later_copies_of_long_lines(spark, folder):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    gone = {r.doc_id: {int(x) for x in r.removed.split(",") if x} for r in queries_dedup.op4_line_dedup(spark, folder).collect()}
+    seen, lines = set(), {i: docs[i].split("\n") for i in sorted(docs) if docs[i] is not None}
+    for i, own in lines.items():
+        for n, line in enumerate(own):
+            if len(words(line)) >= 8:
+                assert (n in gone[i]) == (line in seen), (i, n)
+            seen.add(line)
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(300, 299), (7, 7)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
