@@ -5,6 +5,10 @@ are hashed, those under its zeros are ignored, so a substituted token is harmles
 each hit the two texts are aligned and compared token by token in a window of `window` tokens of the benchmark item (the whole item if it
 is shorter); the hit is a leak if at least `identity` percent of the window agree.
 
+Every way to replace a fifth of 11 to 20 tokens leaves a place for one of the masks (tests/llm tries all), so at the default window and
+identity no passage is lost for its seeds. A hit of MASKS is compared in the window that starts 4 tokens before it; if that fails, as for all hits of
+MORE_MASKS, all windows that hold the hit are tried and the best is kept. Alignments found in the first way are reported before others.
+
 The scan of the corpus has no shuffle before its hits: the benchmark's seeds are broadcast, in slices of at most SEEDS_PER_SLICE seeds, as
 many slices as the benchmark needs. Hits are counted per (document, item, alignment) on the map side.
 
@@ -19,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MASKS = ("11101100111", "11010111011", "11111010101")  # length 11
+MORE_MASKS = ("11101111", "110111011", "11001010111", "1010011111", "1111111", "11110001011", "110110111", "1110101101")  # with MASKS: a fifth of 11 to 20 tokens may differ
 SPAN = 11
 SEEDS_PER_SLICE = 500_000
 
@@ -33,17 +38,18 @@ def _hashed(column: str = "text") -> Column:
 
 def _positions(df: DataFrame, *keep: str) -> DataFrame:
     """A row for each place where a mask fits into `tok`; at counts from 0."""
-    fits = F.when(F.size("tok") >= SPAN, F.sequence(F.lit(0), F.size("tok") - SPAN))
+    shortest = min(map(len, MASKS + MORE_MASKS))
+    fits = F.when(F.size("tok") >= shortest, F.sequence(F.lit(0), F.size("tok") - shortest))
     return df.select(*keep, "tok", F.explode(fits).alias("at"))
 
 
 def _seeds() -> Column:
-    """(mask, hash) of every mask at position `at` of `tok`."""
+    """Hash of every mask at position `at` of `tok`, with its mask's number; null where the mask doesn't fit."""
     def one(number: int, mask: str) -> Column:
         chosen = [F.get("tok", F.col("at") + k) for k, bit in enumerate(mask) if bit == "1"]
-        return F.xxhash64(F.lit(number), *chosen)
+        return F.when(F.col("at") + len(mask) <= F.size("tok"), F.xxhash64(F.lit(number), *chosen))
 
-    return F.explode(F.array(*[one(i, m) for i, m in enumerate(MASKS)])).alias("seed")
+    return F.posexplode(F.array(*[one(i, m) for i, m in enumerate(MASKS + MORE_MASKS)])).alias("mask", "seed")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 20, identity: int = 80) -> DataFrame:
@@ -52,9 +58,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 20, identity: int
     shift is the document token under the item's first token, start the first compared item token.
     """
     items = benchmark.select("item_id", _hashed().alias("tok")).where(F.size("tok") >= SPAN)  # as many tokens as seeds, about
-    seeds = _positions(items, "item_id").select("item_id", F.col("at").alias("item_at"), _seeds())
+    seeds = _positions(items, "item_id").select("item_id", F.col("at").alias("item_at"), _seeds()).where("seed is not null").drop("mask")
     slices = -(-seeds.count() // SEEDS_PER_SLICE)
-    scanned = _positions(docs.select("doc_id", _hashed().alias("tok")), "doc_id").select("doc_id", "tok", "at", _seeds())
+    scanned = _positions(docs.select("doc_id", _hashed().alias("tok")), "doc_id").select("doc_id", "tok", "at", _seeds()).where("seed is not null")
     found = None
     for k in range(slices):
         # Whole items, so a slice's items are bounded with its seeds.
@@ -64,23 +70,47 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 20, identity: int
         found = one if found is None else found.unionByName(one)
     if found is None:
         found = _verified(scanned.join(F.broadcast(seeds), "seed"), items, window, identity)
-    best = F.max(F.struct("matched", "hits", (-F.col("shift")).alias("back"), "start", "compared"))
-    aligned = found.groupBy("doc_id", "item_id", "shift").agg(F.max("matched").alias("matched"), F.min("start").alias("start"), F.max("compared").alias("compared"), F.count(F.lit(1)).alias("hits"))
+    best = F.max(F.struct("base", "matched", "hits", (-F.col("shift")).alias("back"), "start", "compared"))
+    aligned = found.groupBy("doc_id", "item_id", "shift", "base").agg(
+        F.max("matched").alias("matched"), F.when(F.col("base"), F.min("start")).otherwise(F.min_by("start", F.struct(-F.col("matched"), "start"))).alias("start"),
+        F.max("compared").alias("compared"), F.count(F.lit(1)).alias("hits"),
+    )
     return aligned.groupBy("doc_id", "item_id").agg(best.alias("b")).select(
         "doc_id", "item_id", (-F.col("b.back")).alias("shift"), "b.start", "b.matched", "b.compared", "b.hits"
     )
 
 
 def _verified(hits: DataFrame, items: DataFrame, window: int, identity: int) -> DataFrame:
-    """Hits whose window agrees well enough."""
+    """Hits that agree well enough in their window (base), or in the best window that holds them."""
     joined = hits.join(F.broadcast(items.select("item_id", F.col("tok").alias("item_tok"))), "item_id")
     size = F.size("item_tok")
     compared = F.least(F.lit(window), size)
-    start = F.greatest(F.lit(0), F.least(F.col("item_at") - (window - SPAN) // 2, size - compared))
-    placed = joined.withColumn("shift", F.col("at") - F.col("item_at")).withColumn("compared", compared).withColumn("start", start)
-    equal = F.filter(F.sequence(F.col("start"), F.col("start") + F.col("compared") - 1), lambda j: F.get("tok", F.col("shift") + j) == F.get("item_tok", j))
-    counted = placed.withColumn("matched", F.size(equal))
-    return counted.where(F.col("matched") * 100 >= F.col("compared") * identity).select("doc_id", "item_id", "shift", "start", "matched", "compared")
+    length = F.element_at(F.array(*[F.lit(len(m)) for m in MASKS + MORE_MASKS]), F.col("mask") + 1)
+    last = F.greatest(F.lit(0), F.least(F.col("item_at"), size - F.col("compared")))
+    # A window shorter than the mask lies where the mask starts.
+    first = F.least(F.greatest(F.lit(0), F.col("item_at") + length - F.col("compared")), F.col("last"))
+    start = F.greatest(F.lit(0), F.least(F.col("item_at") - (window - SPAN) // 2, size - F.col("compared")))
+    placed = joined.withColumn("shift", F.col("at") - F.col("item_at")).withColumn("compared", compared).withColumn("last", last)
+    placed = placed.withColumn("first", first).withColumn("start", start)
+
+    def agrees(j: Column) -> Column:
+        return F.get("tok", F.col("shift") + j) == F.get("item_tok", j)
+
+    def equal(a: Column, b: Column) -> Column:
+        return F.size(F.filter(F.sequence(a, b - 1), agrees))
+
+    def enough(n: Column) -> Column:
+        return n * 100 >= F.col("compared") * identity
+
+    fixed = F.when(F.col("mask") < len(MASKS), equal(F.col("start"), F.col("start") + F.col("compared")))
+    counted = placed.withColumn("matched", fixed).withColumn("base", F.coalesce(enough(F.col("matched")), F.lit(False)))
+    # No window has more than all of them together.
+    hopeful = counted.where(F.when(F.col("base"), True).otherwise(enough(equal(F.col("first"), F.col("last") + F.col("compared")))))
+    tried = F.transform(F.sequence("first", "last"), lambda a: F.struct(equal(a, a + F.col("compared")).alias("n"), (-a).alias("back")))
+    best = hopeful.withColumn("best", F.when(~F.col("base"), F.array_max(tried)))
+    out = best.withColumn("matched", F.when(F.col("base"), F.col("matched")).otherwise(F.col("best.n")))
+    out = out.withColumn("start", F.when(F.col("base"), F.col("start")).otherwise(-F.col("best.back"))).where(enough(F.col("matched")))
+    return out.select("doc_id", "item_id", "shift", "start", "matched", "compared", "base")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:

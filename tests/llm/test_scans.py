@@ -1,6 +1,7 @@
 """Scans against brute force: licenses, secrets, benchmark passages."""
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -99,6 +100,37 @@ def test_substituted_passages_are_found(spark):
     assert left == {0, 3, 5, 6}
 
 
+def test_masks_leave_no_substitution_out():
+    masks = [[k for k, bit in enumerate(m) if bit == "1"] for m in decontaminate.MASKS + decontaminate.MORE_MASKS]
+    for n in (*range(11, 21),):
+        for gone in itertools.combinations(range(n), n // 5):
+            assert any(all(at + k not in gone for k in m) for m in masks for at in range(n - m[-1])), gone
+
+
+def test_recall_against_all_windows(spark):
+    rng = random.Random(11)
+    items = [[f"i{i}x{k}" for k in range(20 if i % 2 else 45)] for i in range(20)]
+    rows = []
+    for n in range(160):
+        passage = list(rng.choice(items))
+        a = rng.randrange(len(passage) - 19)
+        passage = passage[a : a + 20]
+        for k in rng.sample(range(20), 4 + n % 2):
+            passage[k] = f"z{n}"
+        rows.append((n, " ".join([f"c{rng.randrange(99)}" for _ in range(rng.randrange(30))] + passage)))
+    rows.append((900, " ".join(w if k % 5 else "zz" for k, w in enumerate(items[0], 1))))
+
+    def leaked(t, u):
+        size = min(20, len(u))
+        return any(5 * sum(0 <= s + j < len(t) and t[s + j] == u[j] for j in range(a, a + size)) >= 4 * size for s in range(-len(u), len(t)) for a in range(len(u) - size + 1))
+
+    want = {(i, n) for i, t in rows for n, u in enumerate(items) if set(u) & set(t.split()) and leaked(t.split(), u)}
+    bench = spark.createDataFrame([(n, " ".join(u)) for n, u in enumerate(items)], "item_id bigint, text string")
+    got = decontaminate.leaks(frame(spark, rows), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and (900, 0) in want and len(want) >= 81
+    assert all(r.compared == 20 and 5 * r.matched >= 4 * r.compared for r in got)
+
+
 def test_benchmark_in_slices(spark, monkeypatch):
     rows = [(i, " ".join(f"d{i}x{k}" for k in range(40))) for i in range(12)]
     bench = spark.createDataFrame([(i, " ".join(f"d{i}x{k}" for k in range(5, 30))) for i in range(12)], "item_id bigint, text string")
