@@ -7,7 +7,7 @@
 5. SentencePiece: the ids of the documents that are left, and the text decoded from them.
 
 All but the last return the columns of documents. Rows without a doc_id pass like others: equal texts among them become one row,
-near-duplicates among them all stay, and all of them go if one holds a benchmark passage.
+near-duplicates among them all stay, and each with a benchmark passage goes.
 """
 
 from __future__ import annotations

@@ -13,8 +13,8 @@ The scan of the corpus has no shuffle before its hits: the benchmark's seeds are
 many slices as the benchmark needs. Hits are counted per (document, item, alignment) on the map side.
 
 Nulls: a null text (of a document or an item) has no tokens. Items with fewer tokens than a mask is long (11) cannot be seeded and are
-found by no document, like items without an id. Rows without a doc_id are searched like others. Rows that share a doc_id are one document: the result has each
-(doc_id, item_id) once. Extra columns are not read.
+found by no document, like items without an id. Rows without a doc_id are searched like others. Rows that share a doc_id are one document: the result of `leaks`
+has each (doc_id, item_id) once. `clean` judges each row by its own text. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .text import text_key
+
 MASKS = ("11101100111", "11010111011", "11111010101")  # length 11
 MORE_MASKS = ("11101111", "110111011", "11001010111", "1010011111", "1111111", "11110001011", "110110111", "1110101101")  # with MASKS: a fifth of 11 to 20 tokens may differ
 SPAN = 11
@@ -57,30 +59,35 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 20, identity: int
 
     shift is the document token under the item's first token, start the first compared item token.
     """
+    return _found(docs.select("doc_id", "text"), benchmark, ["doc_id"], window, identity)
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, by: list[str], window: int = 20, identity: int = 80) -> DataFrame:
+    """leaks() of the documents told apart by the columns `by`."""
     items = benchmark.select("item_id", _hashed().alias("tok")).where(F.size("tok") >= SPAN)  # as many tokens as seeds, about
     seeds = _positions(items, "item_id").select("item_id", F.col("at").alias("item_at"), _seeds()).where("seed is not null").drop("mask")
     slices = -(-seeds.count() // SEEDS_PER_SLICE)
-    scanned = _positions(docs.select("doc_id", _hashed().alias("tok")), "doc_id").select("doc_id", "tok", "at", _seeds()).where("seed is not null")
+    scanned = _positions(docs.select(*by, _hashed().alias("tok")), *by).select(*by, "tok", "at", _seeds()).where("seed is not null")
     found = None
     for k in range(slices):
         # Whole items, so a slice's items are bounded with its seeds.
         mine = F.pmod(F.xxhash64("item_id"), F.lit(slices)) == k
         part, own = (seeds, items) if slices == 1 else (seeds.where(mine), items.where(mine))
-        one = _verified(scanned.join(F.broadcast(part), "seed"), own, window, identity)
+        one = _verified(scanned.join(F.broadcast(part), "seed"), own, by, window, identity)
         found = one if found is None else found.unionByName(one)
     if found is None:
-        found = _verified(scanned.join(F.broadcast(seeds), "seed"), items, window, identity)
+        found = _verified(scanned.join(F.broadcast(seeds), "seed"), items, by, window, identity)
     best = F.max(F.struct("base", "matched", "hits", (-F.col("shift")).alias("back"), "start", "compared"))
-    aligned = found.groupBy("doc_id", "item_id", "shift", "base").agg(
+    aligned = found.groupBy(*by, "item_id", "shift", "base").agg(
         F.max("matched").alias("matched"), F.when(F.col("base"), F.min("start")).otherwise(F.min_by("start", F.struct(-F.col("matched"), "start"))).alias("start"),
         F.max("compared").alias("compared"), F.count(F.lit(1)).alias("hits"),
     )
-    return aligned.groupBy("doc_id", "item_id").agg(best.alias("b")).select(
-        "doc_id", "item_id", (-F.col("b.back")).alias("shift"), "b.start", "b.matched", "b.compared", "b.hits"
+    return aligned.groupBy(*by, "item_id").agg(best.alias("b")).select(
+        *by, "item_id", (-F.col("b.back")).alias("shift"), "b.start", "b.matched", "b.compared", "b.hits"
     )
 
 
-def _verified(hits: DataFrame, items: DataFrame, window: int, identity: int) -> DataFrame:
+def _verified(hits: DataFrame, items: DataFrame, by: list[str], window: int, identity: int) -> DataFrame:
     """Hits that agree well enough in their window (base), or in the best window that holds them."""
     joined = hits.join(F.broadcast(items.select("item_id", F.col("tok").alias("item_tok"))), "item_id")
     size = F.size("item_tok")
@@ -110,10 +117,12 @@ def _verified(hits: DataFrame, items: DataFrame, window: int, identity: int) ->
     best = hopeful.withColumn("best", F.when(~F.col("base"), F.array_max(tried)))
     out = best.withColumn("matched", F.when(F.col("base"), F.col("matched")).otherwise(F.col("best.n")))
     out = out.withColumn("start", F.when(F.col("base"), F.col("start")).otherwise(-F.col("best.back"))).where(enough(F.col("matched")))
-    return out.select("doc_id", "item_id", "shift", "start", "matched", "compared", "base")
+    return out.select(*by, "item_id", "shift", "start", "matched", "compared", "base")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """Rows of docs in which no item leaked; all columns stay. Rows without a doc_id are judged together."""
-    bad = leaks(docs, benchmark, **how).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_leaked"]), "left_anti")
+    """Rows of docs in whose text no item leaked; all columns stay. Rows that share a doc_id, or have none, are judged each by its own text."""
+    found = _found(docs.select("doc_id", text_key().alias("text_key"), "text"), benchmark, ["doc_id", "text_key"], **how)
+    bad = found.select(F.col("doc_id").alias("_leaked"), F.col("text_key").alias("_leaked_text")).distinct()
+    same = docs["doc_id"].eqNullSafe(bad["_leaked"]) & (text_key() == bad["_leaked_text"])
+    return docs.join(bad, same, "left_anti")

@@ -5,7 +5,7 @@ import itertools
 import random
 import re
 
-from llm.common import frame, lower, odd_rows
+from llm.common import clashing, frame, lower, odd_rows
 from merchlens.llm import decontaminate, licenses, queries_rules, secret_scan
 
 SECRET = [
@@ -100,6 +100,14 @@ def test_substituted_passages_are_found(spark):
     assert left == {0, 3, 5, 6}
 
 
+def test_clean_judges_each_row_by_its_text(spark):
+    item = " ".join(f"i{k}" for k in range(20))
+    rows = [(None, item), (None, "clean one"), (None, None), (5, f"x {item} y"), (5, "clean two"), (6, "clean two")]
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    left = sorted(((r.doc_id, r.text) for r in decontaminate.clean(clashing(frame(spark, rows)), bench).collect()), key=str)
+    assert left == sorted([rows[1], rows[2], rows[4], rows[5]], key=str)
+
+
 def test_masks_leave_no_substitution_out():
     masks = [[k for k, bit in enumerate(m) if bit == "1"] for m in decontaminate.MASKS + decontaminate.MORE_MASKS]
     for n in (*range(11, 21),):
