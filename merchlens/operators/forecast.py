@@ -12,6 +12,9 @@ from pyspark.sql.window import Window
 from ..functions import constants as K
 from ..functions import scalars as S
 from ..session import stage
+from .sampling import uniform_sample
+
+FITTED_ROWS = 25_000  # labelled rows that a demand model is fitted on at most; every row is scored
 
 
 def with_calendar(panel: DataFrame) -> DataFrame:
@@ -88,9 +91,10 @@ def seasonal_naive(panel: DataFrame, key: str = "series_id", days: int = K.HOLDO
     )
 
 
-def fit_demand_model(frame: DataFrame, kind: str = "gbt", trees: int = 20, seed: int = 42) -> PipelineModel:
-    """One global model over all series."""
-    frame = stage(frame.select(*K.FORECAST_NUMERIC, "category", "daily_sales"), "demand-train")
+def fit_demand_model(frame: DataFrame, kind: str = "gbt", trees: int = 20, seed: int = 42, key: str = "series_id") -> PipelineModel:
+    """One global model over all series, fitted on at most FITTED_ROWS of their rows."""
+    frame = stage(frame.select(key, "date", *K.FORECAST_NUMERIC, "category", "daily_sales"), "demand-frame")
+    frame = stage(uniform_sample(frame, FITTED_ROWS, [key, "date"]), "demand-train")
     if kind == "gbt":
         learner = GBTRegressor(labelCol="daily_sales", maxIter=trees, maxDepth=5, stepSize=0.1, seed=seed)
     else:
@@ -106,7 +110,7 @@ def fit_demand_model(frame: DataFrame, kind: str = "gbt", trees: int = 20, seed:
 def evaluate_model(panel: DataFrame, key: str = "series_id", days: int = K.HOLDOUT_DAYS, **fit) -> DataFrame:
     """Fit on the past, score on the holdout; lags are filled from the past only."""
     train, test = holdout(stage(supervised(panel, key, fill="past"), "demand-frame"), days)
-    return errors(fit_demand_model(train, **fit).transform(test))
+    return errors(fit_demand_model(train, key=key, **fit).transform(test))
 
 
 def recent_history(panel: DataFrame, key: str = "series_id", n: int = 14) -> DataFrame:

@@ -337,7 +337,7 @@ def _(r: Retail):
 
 @register("fct_3", "series_id rows:i mean_prediction:4")
 def _(r: Retail):
-    frame = forecast.supervised(r.series())
+    frame = forecast.supervised(r.series("product"))
     forest = forecast.fit_demand_model(frame, kind="forest", trees=30)
     return forest.transform(frame).groupBy("series_id").agg(F.count(F.lit(1)).alias("rows"), F.avg("prediction").alias("mean_prediction"))
 
@@ -352,7 +352,7 @@ def _(r: Retail):
 
 @register("fct_4_model", _FORECAST)
 def _(r: Retail):
-    panel = r.series()
+    panel = r.series("product")
     model = forecast.fit_demand_model(forecast.supervised(panel))
     start = panel.agg(F.min("date").alias("d")).first().d
     return forecast.forecast_model(panel, model, 30, start)
@@ -371,7 +371,7 @@ def _(r: Retail):
 
 @register("fct_7", "mae:3 rmse:3 mape:4 wape:4")
 def _(r: Retail):
-    return forecast.evaluate_model(r.series())
+    return forecast.evaluate_model(r.series("product"))
 
 
 @register("fct_8", "mae:3 rmse:3 mape:4 wape:4", f"""

@@ -272,3 +272,14 @@ def test_scan_reads_only_needed_columns(spark, folder):
     r = Retail(spark, folder)
     plan = plan_of(kpis.category_sales(r.table("lineitem"), r.catalog))
     assert "l_tax" not in plan and "l_shipdate" not in plan
+
+
+@pytest.mark.parametrize("name", ["fct_3", "fct_4_model"])
+def test_fitted_forecasts_cover_every_product(spark, name):
+    from merchlens.plans import all_queries
+
+    folder = "/root/testdata/sf0.001"
+    parts = {str(r.p_partkey) for r in spark.read.parquet(f"{folder}/part.parquet").select("p_partkey").collect()}
+    got = all_queries()[name].run(spark, folder)
+    assert {str(r.series_id) for r in got.select("series_id").distinct().collect()} == parts
+    assert name == "fct_3" or got.count() == 30 * len(parts)
