@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from merchlens.llm import decontaminate, exact_dedup, minhash, sentence_pieces, toxicity
 from merchlens.llm.queries_tokens import MODEL
+from merchlens.llm.text import text_key
 from merchlens.session import stage
 
 
@@ -30,8 +31,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = minhash.near_duplicates(docs, words=5, threshold=80).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    near = minhash.judged(docs, words=5, threshold=80).where(~F.col("kept"))
+    gone = near.select(F.col("doc_id").alias("_gone"), F.col("text_key").alias("_gone_text")).distinct()
+    return docs.join(gone, (docs["doc_id"] == gone["_gone"]) & (text_key() == gone["_gone_text"]), "left_anti")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

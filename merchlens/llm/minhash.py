@@ -3,7 +3,8 @@
 A document's set are its distinct shingles (`words` consecutive lower-cased words). Every shingle has a 64-bit hash; 200 universal hash
 functions a * x + b over it give 200 minima, cut into 40 bands of 5. A pair at the threshold 0.8 shares no band with probability 1.3e-7.
 
-Documents with equal sets form a class, represented by its smallest id, so copies never meet in a bucket. In a bucket (one value of one
+Documents with equal sets form a class, represented by its smallest id, so copies never meet in a bucket. Classes are numbered in the order
+of these ids and of their fingerprints; components join the numbers, as two texts of one id may belong to different classes. In a bucket (one value of one
 band) no pairs of all members are made:
 1. Every member is paired with the bucket's smallest id. Pairs whose signatures allow the threshold are checked on the full sets; the
    links give components.
@@ -24,9 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ordering import number_rows
 from ..session import stage
 from .components import components
-from .text import mix, prepare, rolling, slices, words_of
+from .text import mix, prepare, rolling, slices, text_key, words_of
 
 ROWS, BANDS = 5, 40
 HASHES = ROWS * BANDS
@@ -68,7 +70,7 @@ def _binary(rows: np.ndarray) -> pa.Array:
 
 
 def signed(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, fp1, fp2, sketch, bands): set size, set fingerprint, low bytes of the minima, a hash of every band."""
+    """(doc_id, text_key, n_shingles, fp1, fp2, sketch, bands): set size, set fingerprint, low bytes of the minima, a hash of every band."""
     prepare(docs.sparkSession)
 
     def run(batches):
@@ -83,23 +85,23 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
             prints = [np.array([f(s) for s in sets], np.uint64).view(np.int64) for f in (lambda s: s.sum(dtype=np.uint64), lambda s: mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))]
             bands = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * BANDS, pa.int32()), pa.array(band.view(np.int64).ravel()))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(size), pa.array(prints[0]), pa.array(prints[1]), _binary((sig & np.uint32(255)).astype(np.uint8)), bands],
-                ["doc_id", "n_shingles", "fp1", "fp2", "sketch", "bands"],
+                [part.column("doc_id"), part.column("text_key"), pa.array(size), pa.array(prints[0]), pa.array(prints[1]), _binary((sig & np.uint32(255)).astype(np.uint8)), bands],
+                ["doc_id", "text_key", "n_shingles", "fp1", "fp2", "sketch", "bands"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles bigint, fp1 bigint, fp2 bigint, sketch binary, bands array<bigint>")
+    return docs.select("doc_id", text_key().alias("text_key"), "text").mapInArrow(run, f"doc_id {kind}, text_key bigint, n_shingles bigint, fp1 bigint, fp2 bigint, sketch binary, bands array<bigint>")
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(id, shingles binary) of the wanted ids."""
+    """(id, shingles binary) of the wanted classes (id, doc_id, text_key)."""
     def run(batches):
         for part in slices(batches, "text"):
             sets = shingle_sets(part.column("text"), words)
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "shingles"])
 
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(wanted, "id", "left_semi")
-    return texts.mapInArrow(run, f"id {docs.schema['doc_id'].dataType.simpleString()}, shingles binary")
+    texts = docs.select("doc_id", text_key().alias("text_key"), "text").join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"]).select("id", "text")
+    return texts.mapInArrow(run, "id bigint, shingles binary")
 
 
 def _sketches(column: pa.Array) -> np.ndarray:
@@ -209,15 +211,22 @@ def _crossing(buckets: DataFrame, sketches: DataFrame, sets: DataFrame, comps: D
 
 def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80) -> DataFrame:
     """A row for each row of docs: doc_id, n_shingles, component_id, kept. threshold: least similarity in percent."""
-    prints = stage(signed(docs.withColumn("doc_id", F.col("doc_id").cast("bigint")), words), "minhash")
+    return judged(docs, words, threshold).drop("text_key")
+
+
+def judged(docs: DataFrame, words: int = 5, threshold: int = 80) -> DataFrame:
+    """near_duplicates() with text_key, which tells apart rows that share a doc_id."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    classes = stage(prints.where("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "fp1", "fp2").agg(F.min("doc_id").alias("id")), "minhash-classes")
-    chosen = prints.join(classes.select("id"), F.col("doc_id") == F.col("id"), "left_semi").where("n_shingles > 0")
-    members = chosen.select(F.col("doc_id").alias("id"), F.explode("bands").alias("bucket"))
+    prints = stage(signed(docs, words), "minhash")
+    of_set = ["n_shingles", "fp1", "fp2"]
+    named = prints.where("n_shingles > 0 and doc_id is not null").groupBy(*of_set).agg(F.min(F.struct("doc_id", "text_key")).alias("first")).select(*of_set, "first.doc_id", "first.text_key")
+    classes = stage(number_rows(named, ["doc_id", *of_set], "id").withColumn("id", F.col("id").cast("bigint")), "minhash-classes")
+    chosen = prints.join(classes.select("id", "doc_id", "text_key"), ["doc_id", "text_key"])
+    members = chosen.select("id", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("bucket", "first")
-    buckets = stage(members.join(shared, "bucket"), "minhash-buckets")
-    ids = stage(buckets.select("id").distinct(), "minhash-ids")
-    sketches = stage(chosen.join(ids, F.col("doc_id") == F.col("id"), "left_semi").select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch", "bands"), "minhash-sketches")
+    buckets = stage(members.join(shared, "bucket").distinct(), "minhash-buckets")  # a row may be there twice
+    ids = stage(classes.select("id", "doc_id", "text_key").join(buckets.select("id").distinct(), "id", "left_semi"), "minhash-ids")
+    sketches = stage(chosen.join(ids.select("id"), "id", "left_semi").select("id", F.col("n_shingles").alias("n"), "sketch", "bands").dropDuplicates(["id"]), "minhash-sketches")
     sets = stage(_full_sets(docs, ids, words), "minhash-sets")
     pairs = buckets.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     links = stage(_linked(_likely(pairs, sketches, threshold), sets, threshold), "minhash-links")
@@ -225,7 +234,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80) -> Dat
     found = stage(_crossing(buckets.select("bucket", "id"), sketches, sets, comps, threshold), "minhash-crossing")
     if not found.isEmpty():
         comps = components(links.union(found))
-    of_class = classes.join(comps, F.col("id") == F.col("node"), "left").select("n_shingles", "fp1", "fp2", F.coalesce("component", "id").alias("component"))
-    own = prints.select("doc_id", "n_shingles", "fp1", "fp2").join(of_class, ["n_shingles", "fp1", "fp2"], "left")
-    out = own.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    placed = classes.join(comps, F.col("id") == F.col("node"), "left").select(*of_set, "id", F.coalesce("component", "id").alias("component"))
+    heads = classes.select(F.col("id").alias("component"), F.col("doc_id").alias("component_id"))
+    of_class = placed.join(heads, "component").select(*of_set, "component_id", (F.col("id") == F.col("component")).alias("first"))
+    own = prints.select("doc_id", "text_key", *of_set).join(of_class, of_set, "left")
+    out = own.select("doc_id", "text_key", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"), "first")
+    return out.withColumn("kept", F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")) & F.coalesce("first", F.lit(True))).drop("first")

@@ -144,3 +144,16 @@ def test_near_duplicates(spark, monkeypatch):
         assert len(got) == len(rows)
         assert {r.doc_id: (r.component_id, r.n_shingles, r.kept) for r in got if r.doc_id is not None} == {i: (want[i], len(sets[i]), want[i] == i) for i in sets}
         assert [(r.component_id, r.kept) for r in got if r.doc_id is None] == [(None, True)]
+
+
+def test_near_duplicates_of_rows_that_share_an_id(spark):
+    import corpus_pipeline
+    from llm.common import clashing
+
+    base, other = [f"w{i}" for i in range(90)], " ".join(f"v{i}" for i in range(50))
+    near = " ".join(base[:-1] + ["zz"])
+    rows = [(20, " ".join(base)), (21, near), (21, other), (21, other), (30, other)]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(frame(spark, rows)).collect())
+    assert got == [(20, 86, 20, True), (21, 46, 21, True), (21, 46, 21, True), (21, 86, 20, False), (30, 46, 21, False)]
+    left = corpus_pipeline.drop_near_copies(spark, clashing(frame(spark, rows)), "").collect()
+    assert sorted((r.doc_id, r.text) for r in left) == sorted([rows[0], rows[2], rows[3]])
