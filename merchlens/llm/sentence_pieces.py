@@ -6,7 +6,8 @@ has a pair left. That equals the library's one-merge-at-a-time order except wher
 of equal or better rank; the model tells which symbols these are, and words at such a pair merge only its leftmost occurrence in that round.
 
 Words end before a space mark, which no piece contains behind another character, so words are encoded on their own and remembered in a
-bounded table. Runs of space marks are cut by length: their pieces rank behind all others, so they merge last and from the left.
+bounded table. A word beyond merges.LONG characters, as in text without spaces, would need as many rounds as it has distinct ranks, each over all
+of it; it is merged by a heap in the same order. Runs of space marks are cut by length: their pieces rank behind all others, so they merge last and from the left.
 
 A null text is an empty text: it has the end id only. Other columns are not read. The model's path is a parameter.
 """
@@ -22,47 +23,12 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 
+from .merges import LONG, NONE, PairTable, merge_long
 from .text import prepare, slices
 
 SPACE = "▁"
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
-_NONE = np.iinfo(np.int32).max
-REMEMBERED = 150_000  # words that a worker keeps encoded
-
-
-class PairTable:
-    """(left, right) -> (rank, merged id) by open addressing; lookups are vectorised."""
-
-    def __init__(self, keys: np.ndarray, rank: np.ndarray, merged: np.ndarray):
-        self.bits = max(4, int(2 * max(len(keys), 1)).bit_length() + 1)
-        self.key = np.full(1 << self.bits, -1, np.int64)
-        self.rank = np.full(1 << self.bits, _NONE, np.int32)
-        self.merged = np.zeros(1 << self.bits, np.int32)
-        left = np.arange(len(keys))
-        at = self._slot(keys)
-        while len(left):
-            free = self.key[at] < 0
-            _, first = np.unique(at, return_index=True)
-            placed = np.zeros(len(left), bool)
-            placed[first] = True
-            placed &= free
-            self.key[at[placed]] = keys[left[placed]]
-            self.rank[at[placed]] = rank[left[placed]]
-            self.merged[at[placed]] = merged[left[placed]]
-            left, at = left[~placed], (at[~placed] + 1) & ((1 << self.bits) - 1)
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = self._slot(keys)
-        todo = np.flatnonzero((self.key[at] != keys) & (self.key[at] >= 0))
-        while len(todo):
-            at[todo] = (at[todo] + 1) & ((1 << self.bits) - 1)
-            here = self.key[at[todo]]
-            todo = todo[(here != keys[todo]) & (here >= 0)]
-        hit = self.key[at] == keys
-        return np.where(hit, self.rank[at], _NONE), self.merged[at]
+REMEMBERED, REMEMBERED_CHARS = 150_000, 4 << 20  # words that a worker keeps encoded, and their characters
 
 
 class Pieces:
@@ -87,7 +53,7 @@ class Pieces:
         keys, rank, merged = (np.array(x, np.int64) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
         self.pairs = PairTable(keys, rank.astype(np.int32), merged.astype(np.int32))
         # The best rank at which a piece takes part in a merge; not safe if that is not behind the piece's own rank.
-        best = np.full(self.size, _NONE, np.int64)
+        best = np.full(self.size, NONE, np.int64)
         np.minimum.at(best, keys // self.size, rank)
         np.minimum.at(best, keys % self.size, rank)
         own = np.full(self.size, -1, np.int64)
@@ -114,6 +80,7 @@ class Pieces:
     def begin(self) -> None:
         """An empty table of words; entry 0 is the end id."""
         self.known: dict[str | None, int] = {None: 0}
+        self.held = 0
         self.flat = np.array([self.end], np.int32)
         self.at, self.length = np.zeros(1, np.int64), np.ones(1, np.int64)
 
@@ -121,7 +88,15 @@ class Pieces:
         return self.merge(words)[0]
 
     def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids of the words and their number for each word; no word is empty."""
+        """Flat ids of the words and their number for each word; no word is empty. Words beyond LONG characters merge by a heap."""
+        long = [k for k, w in enumerate(words) if len(w) > LONG]
+        if long:
+            short = [w for w in words if len(w) <= LONG]
+            flat, times = self.merge(short) if short else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+            ids = np.split(flat, np.cumsum(times)[:-1]) if short else []
+            for k in long:  # in order, so the places of later ones hold
+                ids.insert(k, self._long(words[k]))
+            return np.concatenate(ids), np.array([len(i) for i in ids])
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         length = np.array([len(w) for w in words])
         symbol = self.char[points]
@@ -133,7 +108,7 @@ class Pieces:
             start = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             size = np.diff(np.r_[start, len(word)])
             least = np.minimum.reduceat(rank, start)
-            ended = least == _NONE
+            ended = least == NONE
             if ended.any():
                 stay = np.repeat(~ended, size)
                 done.append((symbol[~stay], word[~stay]))
@@ -167,12 +142,26 @@ class Pieces:
         by = np.argsort(word, kind="stable")
         return self._spell(symbol[by], np.bincount(word, minlength=len(words)))
 
+    def _long(self, word: str) -> np.ndarray:
+        """Ids of one long word, merged pair by pair."""
+        points = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        symbol = self.char[points]
+        symbol = np.where(symbol < 0, -1 - points, symbol)
+        rank, _ = self._ranks(symbol, np.zeros(len(symbol), np.int64))
+        made = self.pairs.one_by_one()
+
+        def look_up(left: int, right: int) -> tuple[int, int]:
+            return made.get(left * self.size + right, (int(NONE), 0)) if left >= 0 and right >= 0 else (int(NONE), 0)
+
+        left = np.array(merge_long(symbol.tolist(), rank.tolist(), int(NONE), look_up), np.int64)
+        return self._spell(left, np.array([len(left)]))[0]
+
     def _ranks(self, symbol: np.ndarray, word: np.ndarray, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         at = np.arange(len(symbol)) if at is None else at
         after = np.minimum(at + 1, len(symbol) - 1)
         left, right = symbol[at], symbol[after]
         pair = (at + 1 < len(symbol)) & (word[at] == word[after]) & (left >= 0) & (right >= 0)
-        rank, merged = np.full(len(at), _NONE, np.int32), np.zeros(len(at), np.int32)
+        rank, merged = np.full(len(at), NONE, np.int32), np.zeros(len(at), np.int32)
         rank[pair], merged[pair] = self.pairs.look_up(left[pair] * self.size + right[pair])
         return rank, merged
 
@@ -215,13 +204,14 @@ class Pieces:
 
     def _put(self, words: list[str], flat: np.ndarray, length: np.ndarray) -> None:
         self.known.update(zip(words, range(len(self.length), len(self.length) + len(words))))
+        self.held += sum(map(len, words))
         self.at = np.r_[self.at, len(self.flat) + np.cumsum(length) - length]
         self.length = np.r_[self.length, length]
         self.flat = np.concatenate([self.flat, flat])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids with an end id behind each text, and the offsets of the texts."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > REMEMBERED or self.held > REMEMBERED_CHARS:
             self.begin()
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         # One space between words and no space mark: Arrow splits and numbers the words. Else, or for an empty text: the pattern.
