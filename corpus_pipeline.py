@@ -15,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlens.llm import decontaminate, exact_dedup, minhash, sentence_pieces, toxicity
-from merchlens.llm.queries_tokens import MODEL
+from merchlens.llm import decontaminate, exact_dedup, minhash, toxicity
+from merchlens.llm.queries_tokens import PIECES, vocabulary
 from merchlens.llm.text import text_key
 from merchlens.session import stage
 
@@ -41,7 +41,10 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sentence_pieces.decode(sentence_pieces.encode(docs, MODEL), MODEL).select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), "text")
+    from merchlens.llm import sentence_pieces  # needs the tokenizer's library, which the other stages don't
+
+    model = vocabulary(PIECES)
+    return sentence_pieces.decode(sentence_pieces.encode(docs, model), model).select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), "text")
 
 
 STAGES = [
