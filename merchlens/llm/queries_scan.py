@@ -13,35 +13,27 @@ def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _op5_sql(window: int = 20, identity: int = 80) -> str:
-    span = decontaminate.SPAN
+    """All windows of all alignments that share tokens; no masks."""
 
     def tokens(table: str, key: str) -> str:
         return rf"SELECT {key}, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS t FROM {table}"
 
-    def places(table: str, key: str) -> str:
-        return f"SELECT {key}, t, unnest(range(0, len(t) - {span - 1})) AS p FROM {table}"
-
-    seeds = ", ".join(
-        f"'{i} ' || concat_ws(' ', " + ", ".join(f"t[p + {k + 1}]" for k, bit in enumerate(mask) if bit == "1") + ")" for i, mask in enumerate(decontaminate.MASKS)
-    )
+    span, short = decontaminate.SPAN, decontaminate.SHORT
     return f"""
-WITH d AS ({tokens('documents', 'doc_id')}), b AS ({tokens('benchmark', 'item_id')}),
-dp AS ({places('d', 'doc_id')}), bp AS ({places('b', 'item_id')}),
-ds AS (SELECT doc_id, t, p, unnest([{seeds}]) AS seed FROM dp),
-bs AS (SELECT item_id, t AS u, p AS q, unnest([{seeds}]) AS seed FROM bp),
-h AS (
-  SELECT doc_id, item_id, t, u, p - q AS shift, least({window}, len(u)) AS compared,
-    greatest(0, least(q - {(window - span) // 2}, len(u) - least({window}, len(u)))) AS start
-  FROM ds JOIN bs USING (seed)
+WITH d AS ({tokens('documents', 'doc_id')}), b AS (
+  SELECT item_id, t AS u, CASE WHEN len(t) < {span} THEN len(t) ELSE least({window}, len(t)) END AS compared, CASE WHEN len(t) < {span} THEN 100 ELSE {identity} END AS identity
+  FROM ({tokens('benchmark', 'item_id')}) WHERE item_id IS NOT NULL AND len(t) >= {short}
+), dp AS (SELECT doc_id, unnest(t) AS w, unnest(range(0, len(t))) AS p FROM d), bp AS (SELECT item_id, compared, identity, unnest(u) AS w, unnest(range(0, len(u))) AS q FROM b),
+a AS (
+  SELECT doc_id, item_id, p - q AS shift FROM dp JOIN bp USING (w) GROUP BY ALL HAVING count(*) * 100 >= any_value(compared * identity)
 ), v AS (
-  SELECT doc_id, item_id, shift, start, compared,
-    len(list_filter(range(start, start + compared), lambda j: shift + j >= 0 AND t[shift + j + 1] = u[j + 1])) AS matched FROM h
-), a AS (
-  SELECT doc_id, item_id, shift, max(matched) AS matched, min(start) AS start, max(compared) AS compared, count(*) AS hits
-  FROM v WHERE matched * 100 >= compared * {identity} GROUP BY doc_id, item_id, shift
+  SELECT doc_id, item_id, shift, compared, identity, t, u, unnest(range(0, len(u) - compared + 1)) AS start FROM a JOIN d USING (doc_id) JOIN b USING (item_id)
+), m AS (
+  SELECT doc_id, item_id, shift, start, compared, identity,
+    len(list_filter(range(start, start + compared), lambda j: shift + j >= 0 AND t[shift + j + 1] = u[j + 1])) AS matched FROM v
 )
-SELECT doc_id, item_id, shift, start, matched, compared, hits FROM a
-QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, hits DESC, shift) = 1
+SELECT doc_id, item_id, shift, start, matched, compared FROM m WHERE matched * 100 >= compared * identity
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, shift, start) = 1
 """
 
 
