@@ -1,8 +1,8 @@
 """Exact dedup by composable polynomial fingerprints.
 
 A text is cut into chunks of bytes. Each chunk has a polynomial hash h = sum of (byte + 1) * base^i; two neighbouring pieces combine as
-(h_a + h_b * base^len_a, len_a + len_b), so the chunks of a huge document are hashed side by side and then combined by shifting each
-with the length before it. Two bases modulo 2^31 - 1 and the length form the fingerprint.
+(h_a + h_b * base^len_a, len_a + len_b), so the parts of a huge document are hashed by different tasks, each shifted with the
+length before it, and summed by an aggregate; the chunks inside a part are combined in the same way. Two bases modulo 2^31 - 1 and the length form the fingerprint.
 
 Equal fingerprints only propose a group: every other member is compared with the member that has the smallest doc_id, chunk by chunk,
 without bringing two whole texts into one task. Members that differ (a fingerprint collision) are grouped by their digest instead.
@@ -19,10 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .text import prepare, slices, texts_of
+from .text import bytes_of, fresh, prepare, slices
 
 CHUNK = 4096  # bytes hashed as one piece
-COMPARED = 1 << 20  # bytes of a text that are compared as one row
+PART = COMPARED = 1 << 20  # bytes of a text that are hashed, and compared, as one row
+COPIES = 4096  # equal rows that are given out as one run
 PRIME = (1 << 31) - 1
 BASES = (1_000_003, 998_244_353)
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -67,22 +68,41 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray, base: int, prime: int =
 
 
 def fingerprinted(docs: DataFrame, prime: int = PRIME) -> DataFrame:
-    """(doc_id, text_sha256, fp1, fp2, n_bytes), a row for each row of docs."""
+    """(doc_id, text_sha256, fp1, fp2, n_bytes, repeated): a row for each distinct (doc_id, text); repeated counts its rows.
+
+    A text longer than PART bytes is cut into rows of its own, which are hashed by any task; each part's hash is shifted by the bytes
+    before it, so the text's fingerprint is the sum of its parts' hashes.
+    """
     prepare(docs.sparkSession)
     text = docs.select("doc_id", normalised().alias("text"))
-    text = text.select("doc_id", "text", F.sha2("text", 256).alias("text_sha256"))
+    raw = F.encode("text", "UTF-8")
+    text = text.select("doc_id", F.sha2("text", 256).alias("text_sha256"), raw.alias("bytes"), F.length(raw).alias("size"))
+    last = F.greatest(F.lit(0), F.ceil(F.col("size") / PART) - 1).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(F.col("bytes"), i * PART + 1, F.lit(PART)))
+    short, long = text.where(F.col("size") <= PART), text.where(F.col("size") > PART)
+    long = long.select("doc_id", "text_sha256", F.posexplode(pieces).alias("part", "bytes")).repartition("doc_id", "text_sha256", "part")
+    parts = short.select("doc_id", "text_sha256", F.lit(0).alias("part"), "bytes").unionByName(long)
 
     def run(batches):
-        for part in slices(batches, "text"):
-            data, offsets = texts_of(part.column("text"))
-            both = [pa.array(fingerprints(data, offsets, base, prime)) for base in BASES]
+        for part in slices(batches, "bytes"):
+            data, offsets = bytes_of(part.column("bytes"))
+            number = part.column("part").to_numpy()
+            both = []
+            for base in BASES:
+                shift = np.array([pow(base, int(n) * PART, prime) for n in number], np.uint64) if number.any() else np.uint64(1)
+                both.append(pa.array((fingerprints(data, offsets, base, prime).astype(np.uint64) * shift % np.uint64(prime)).astype(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("text_sha256"), *both, pa.array(np.diff(offsets))],
-                ["doc_id", "text_sha256", "fp1", "fp2", "n_bytes"],
+                [part.column("doc_id"), part.column("text_sha256"), part.column("part"), *both, pa.array(np.diff(offsets))],
+                ["doc_id", "text_sha256", "part", "fp1", "fp2", "n_bytes"],
             )
 
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_sha256 string, fp1 bigint, fp2 bigint, n_bytes bigint"
-    return text.mapInArrow(run, schema)
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_sha256 string, part int, fp1 bigint, fp2 bigint, n_bytes bigint"
+    hashed = parts.mapInArrow(run, schema)
+    # Parts of repeated rows are equal; they are counted first, so each part of a text is summed once.
+    first = F.when(F.col("part") == 0, F.lit(1))
+    once = hashed.groupBy("doc_id", "text_sha256", "part").agg(F.max("fp1").alias("fp1"), F.max("fp2").alias("fp2"), F.max("n_bytes").alias("n_bytes"), F.count(first).alias("repeated"))
+    total = [(F.sum(c) % prime).alias(c) for c in ("fp1", "fp2")]
+    return once.groupBy("doc_id", "text_sha256").agg(*total, F.sum("n_bytes").alias("n_bytes"), F.sum("repeated").alias("repeated"))
 
 
 FP = ["fp1", "fp2", "n_bytes"]
@@ -97,8 +117,7 @@ def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
 
 def groups(docs: DataFrame, prime: int = PRIME) -> DataFrame:
     """(doc_id, text_sha256, repeated, keep_id, group_size): a row for each distinct (doc_id, text); repeated counts its rows."""
-    rows = fingerprinted(docs, prime).groupBy("doc_id", "text_sha256", *FP).agg(F.count(F.lit(1)).alias("repeated"))
-    rows = stage(rows, "exact-rows")
+    rows = stage(fingerprinted(docs, prime), "exact-rows")
     # The member to compare with has the smallest doc_id; of texts that share this id, that with the smallest digest.
     shared = (
         rows.groupBy(*FP)
@@ -141,14 +160,21 @@ def _compared(docs: DataFrame, proposed: DataFrame) -> DataFrame:
 
 def dedup(docs: DataFrame, prime: int = PRIME) -> DataFrame:
     """A row for each row of docs: doc_id, keep_id, group_size, kept, text_sha256."""
-    every = groups(docs, prime).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("repeated").cast("int"))))
-    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
+    found = groups(docs, prime)
+    # A row that is there very often is first cut into runs of COPIES, which are dealt out, and each run into its rows.
+    run = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("repeated") - 1) / COPIES))).alias("run")
+    few = found.where(F.col("repeated") <= COPIES).select("*", F.lit(0).cast("bigint").alias("run"))
+    many = found.where(F.col("repeated") > COPIES).select("*", run).repartition("doc_id", "text_sha256", "run")
+    upto = F.least(F.lit(COPIES), F.col("repeated") - F.col("run") * COPIES).cast("int")
+    every = few.unionByName(many).withColumn("copy", F.explode(F.sequence(F.lit(1), upto)))
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1) & (F.col("run") == 0)
     return every.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """Rows of docs without the later copies; all columns stay."""
     kept = groups(docs).where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    marked = docs.withColumn("_digest", F.sha2(normalised(), 256))
-    stay = marked.join(kept, marked["doc_id"].eqNullSafe(kept["_id"]) & (marked["_digest"] == kept["_sha"]), "left_semi")
-    return stay.dropDuplicates(["doc_id", "_digest"]).select(*[stay[c] for c in docs.columns])
+    digest = fresh(docs, "digest")
+    marked = docs.withColumn(digest, F.sha2(normalised(), 256))
+    stay = marked.join(kept, marked["doc_id"].eqNullSafe(kept["_id"]) & (marked[digest] == kept["_sha"]), "left_semi")
+    return stay.dropDuplicates(["doc_id", digest]).select(*[stay[c] for c in docs.columns])

@@ -159,9 +159,10 @@ def marks(docs: DataFrame, min_lines: int = 2, min_words: int | None = None) ->
 
 def dedup(docs: DataFrame, min_lines: int = 2, min_words: int | None = None) -> DataFrame:
     """docs without the lines of later copies; a null text stays null, and all columns stay."""
-    changed = marks(docs, min_lines, min_words).where(F.size("removed") > 0).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("removed").alias("_removed")).distinct()
-    keyed = docs.withColumn("_k", F.xxhash64(F.lit(1), "text"))
-    joined = keyed.join(changed, keyed["doc_id"].eqNullSafe(changed["_id"]) & (F.col("_k") == F.col("_key")), "left")
-    stay = F.array_join(F.filter(_lines(), lambda line, i: ~F.array_contains("_removed", i)), "\n")
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(stay)
-    return joined.select(*[text.alias("text") if c == "text" else joined[c] for c in docs.columns])
+    changed = marks(docs, min_lines, min_words).where(F.size("removed") > 0).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("removed").alias("_gone")).distinct()
+    same = docs["doc_id"].eqNullSafe(changed["_id"]) & (F.xxhash64(F.lit(1), docs["text"]) == changed["_key"])
+    joined = docs.join(changed, same, "left")
+    lines = F.split(docs["text"], "\n", -1)
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), changed["_gone"])  # by hashing, so linear in the lines
+    text = F.when(changed["_gone"].isNull(), docs["text"]).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
+    return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])

@@ -72,11 +72,15 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), removed.alias("removed"))
 
 
-OP4_SQL = r"""
+OP4_SQL = rf"""
 WITH d AS (SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE string_split(text, chr(10)) END AS l FROM documents),
 w AS (SELECT doc_id, l, unnest(range(0, len(l) - 1)) AS n FROM d),
 c AS (SELECT doc_id, n FROM w QUALIFY row_number() OVER (PARTITION BY l[n + 1], l[n + 2] ORDER BY doc_id, n) > 1),
-g AS (SELECT DISTINCT doc_id, unnest([n, n + 1]) AS line FROM c),
-r AS (SELECT doc_id, count(*) AS n_removed, string_agg(line, ',' ORDER BY line) AS removed FROM g GROUP BY 1)
+s AS (SELECT doc_id, unnest(l) AS line, unnest(range(0, len(l))) AS n FROM d),
+o AS (SELECT doc_id, n, line FROM s QUALIFY row_number() OVER (PARTITION BY line ORDER BY doc_id, n) > 1),
+g AS (
+  SELECT doc_id, unnest([n, n + 1]) AS line FROM c
+  UNION SELECT doc_id, n FROM o WHERE len(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) >= {MIN_WORDS}
+), r AS (SELECT doc_id, count(*) AS n_removed, string_agg(line, ',' ORDER BY line) AS removed FROM g GROUP BY 1)
 SELECT doc_id, len(l) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed FROM d LEFT JOIN r USING (doc_id)
 """

@@ -14,7 +14,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
@@ -42,6 +42,14 @@ def text_key(column: str = "text") -> Column:
     return F.xxhash64(F.lit(1), F.col(column))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, or one like it, that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values (the finishing step of splitmix)."""
     x = x.astype(np.uint64, copy=True)
@@ -89,6 +97,11 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of a binary column without nulls."""
+    return texts_of(column.cast(pa.large_binary()).view(pa.large_string()))
+
+
 def separators(*ranges: tuple[int, int]) -> np.ndarray:
     """Table of separating bytes from inclusive ranges."""
     out = np.zeros(256, bool)

@@ -34,7 +34,7 @@ def clashing(docs):
     """The same documents with extra columns named like columns that operators use inside."""
     from pyspark.sql import functions as F
 
-    names = ["id", "n", "k", "o", "a", "b", "k1", "k2", "bucket", "score", "predicted", "seed", "at", "tok", "_id", "_k", "_key", "_digest", "_gone", "_leaked", "kept", "component", "spans", "block", "part", "size"]
+    names = ["id", "n", "k", "o", "a", "b", "k1", "k2", "bucket", "score", "predicted", "seed", "at", "_id", "_k", "_key", "_digest", "_gone", "_leaked", "kept", "component", "_toxic", "_toxicity", "toxic", "digest", "_removed", "_gone_text", "removed", "text_key", "tok", "spans", "block", "part", "size"]
     return docs.select("*", *[F.lit(f"{c}!").alias(c) for c in names])
 
 

@@ -157,3 +157,24 @@ def test_near_duplicates_of_rows_that_share_an_id(spark):
     assert got == [(20, 86, 20, True), (21, 46, 21, True), (21, 46, 21, True), (21, 86, 20, False), (30, 46, 21, False)]
     left = corpus_pipeline.drop_near_copies(spark, clashing(frame(spark, rows)), "").collect()
     assert sorted((r.doc_id, r.text) for r in left) == sorted([rows[0], rows[2], rows[3]])
+
+
+def test_huge_texts_are_hashed_in_parts(spark, monkeypatch):
+    rng = random.Random(8)
+    long = ["".join(rng.choice("abc dé漢") for _ in range(n)) for n in (700, 1000, 1024, 3000)]
+    rows = [(k, t) for k, t in enumerate(long + long[::-1] + [long[3][:-1] + "x", "", None])] + [(3, long[3])] * 30 + [(None, long[1])] * 25
+    for size in (1 << 20, 64):
+        monkeypatch.setattr(exact_dedup, "PART", size)
+        monkeypatch.setattr(exact_dedup, "COMPARED", size)
+        monkeypatch.setattr(exact_dedup, "COPIES", 1 << 12 if size > 64 else 7)
+        prints = {(r["doc_id"], r["text_sha256"]): (r["fp1"], r["fp2"], r["n_bytes"], r["repeated"]) for r in exact_dedup.fingerprinted(frame(spark, rows)).collect()}
+        if size > 64:
+            whole = prints
+        assert prints == whole
+        got = exact_dedup.dedup(frame(spark, rows)).collect()
+        key = lambda t: " ".join(re.split("[\x20\x09-\x0D]+", t or ""))
+        of = {}
+        for i, t in rows:
+            of.setdefault(key(t), []).append(i)
+        assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["keep_id"], r["group_size"]) for r in got) == sorted((i is None, i or 0, min(j for j in of[key(t)] if j is not None), len(of[key(t)])) for i, t in rows)
+        assert sum(r["kept"] for r in got) == len(of)
