@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 
 from merchlens.llm import decontaminate, exact_dedup, minhash, toxicity
 from merchlens.llm.queries_tokens import PIECES, vocabulary
-from merchlens.llm.text import text_key
+from merchlens.llm.text import fresh, text_key
 from merchlens.session import stage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model, ("_toxicity", "_toxic")).where("_toxic = 0").select(*docs.columns)
+    likely, toxic = fresh(docs, "likely"), fresh(docs, "toxic")
+    return toxicity.score(docs, model, (likely, toxic)).where(F.col(toxic) == 0).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
