@@ -45,6 +45,16 @@ def per_user(recommended: DataFrame, relevant: DataFrame, k: int) -> DataFrame:
     )
 
 
+def list_ndcg(scored: DataFrame, k: int = 10, group: str = "user_id", label: str = "purchase_label", score: str = "ranking_score", tie: str = "event_id") -> DataFrame:
+    """(group, ndcg) of every user's rows by falling score; users whose rows have one label only say nothing and are left out."""
+    best = Window.partitionBy(group).orderBy(F.desc(F.round(score, 12)), tie)
+    top = scored.select(group, label, score, tie).withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= k)
+    gained = top.groupBy(group).agg(F.sum(F.col(label) / F.log2(F.col("_place") + 1)).alias("_dcg"))
+    kinds = scored.groupBy(group).agg(F.sum(label).cast("bigint").alias("_ones"), F.count(label).alias("_rows")).where("_ones > 0 and _ones < _rows")
+    ideal = F.aggregate(F.sequence(F.lit(1).cast("bigint"), F.least(F.col("_ones"), F.lit(k))), F.lit(0.0), lambda a, i: a + 1 / F.log2(i + 1))
+    return kinds.join(gained, group).select(group, (F.col("_dcg") / ideal).alias("ndcg"))
+
+
 def recall(recommended: DataFrame, relevant: DataFrame, k: int) -> DataFrame:
     hits = recommended.where(F.col("rank") <= k).select("user_id", "product_id").distinct().join(
         relevant, ["user_id", "product_id"], "left_semi"

@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from ..functions import constants as K
 from ..functions import scalars as S
 from ..session import stage
-from . import retrieval
+from . import lambda_rank, retrieval
 from .features import normalise_ranker_columns
 
 CATEGORICAL = ["category", "brand"]
@@ -102,6 +102,15 @@ def score_within_user(candidates: DataFrame, model) -> DataFrame:
     return _restored(centred.drop("_margin", "_mean"))
 
 
+def fit_lambda(training: DataFrame, rounds: int = 20) -> lambda_rank.LambdaModel:
+    """Boosted trees on NDCG-weighted pairs of a user's rows."""
+    return lambda_rank.fit_lambda(training, K.RANKER_NUMERIC, rounds=rounds)
+
+
+def score_lambda(candidates: DataFrame, model: lambda_rank.LambdaModel) -> DataFrame:
+    return _restored(_model_inputs(candidates).withColumn("ranking_score", S.sigmoid(lambda_rank.margin(model))))
+
+
 def score_closed_form(candidates: DataFrame) -> DataFrame:
     """Deterministic ranking score in [0, 1]: the purchase propensity, a cart's when the category fits."""
     step = F.when(F.col("category_match") == 1, "add_to_cart").otherwise("click")

@@ -77,19 +77,32 @@ def _(r: Retail):
     return _training(r, r.clean_table, r.clean_table)
 
 
-@register("rec_7", "ranker rows:i in_range:i", "SELECT unnest(['pointwise', 'within_user']) AS ranker, count(*) AS rows, count(*) AS in_range FROM t_test")
-def _(r: Retail):
-    """Both rankers on the held-out events; features come from the training window, labelled rows are bounded."""
+def _rankers(r: Retail) -> dict[str, DataFrame]:
+    """The held-out events scored by every fitted ranker; features come from the training window, labelled rows are bounded."""
     train, test = r.split
     sample = sampling.uniform_sample(train, ranking.LABELLED_ROWS, ["event_id"])
-    training, held = _training(r, sample, train), stage(_training(r, test, train), "ranker-held")
-    scored = {
+    training, held = stage(_training(r, sample, train), "ranker-rows"), stage(_training(r, test, train), "ranker-held")
+    return {
         "pointwise": ranking.score_with_model(held, ranking.fit_ranker(training)),
         "within_user": ranking.score_within_user(held, ranking.fit_within_user(training)),
+        "lambda": ranking.score_lambda(held, ranking.fit_lambda(training)),
     }
+
+
+@register("rec_7", "ranker rows:i in_range:i", "SELECT unnest(['pointwise', 'within_user', 'lambda']) AS ranker, count(*) AS rows, count(*) AS in_range FROM t_test")
+def _(r: Retail):
     return reduce(DataFrame.unionByName, [
         df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("ranking_score").between(0, 1)).alias("in_range"))
-        .select(F.lit(n).alias("ranker"), "rows", "in_range") for n, df in scored.items()
+        .select(F.lit(n).alias("ranker"), "rows", "in_range") for n, df in _rankers(r).items()
+    ])
+
+
+@register("rec_7_ndcg", "ranker users:i ndcg_10:4")
+def _(r: Retail):
+    """Mean NDCG@10 of each ranker over the held-out rows of users that have both labels there."""
+    return reduce(DataFrame.unionByName, [
+        evaluation.list_ndcg(df).agg(F.count(F.lit(1)).alias("users"), F.coalesce(F.avg("ndcg"), F.lit(0.0)).alias("ndcg_10"))
+        .select(F.lit(n).alias("ranker"), "users", "ndcg_10") for n, df in _rankers(r).items()
     ])
 
 
