@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -25,16 +28,90 @@ def with_calendar(panel: DataFrame) -> DataFrame:
     })
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Dealt by key to as many partitions as a shuffle has. Series are few and days many: left to itself, adaptive execution would put
+    all series into one task before their days are laid out."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def dense_panel(sold: DataFrame, entities: DataFrame, key: str = "series_id") -> DataFrame:
     """Every entity on every day of the calendar; days without sales are 0.
 
-    `sold` has (key, date, daily_sales); `entities` has one row per key and its category.
+    `sold` has (key, date, daily_sales); `entities` has one row per key and its category. Only sold days are shuffled, by key; the
+    calendar is filled in where a series lies, so the panel stays partitioned by key for the windows that follow.
     """
     span = sold.agg(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi")).alias("s")).scalar()
-    days = F.sequence(span["lo"], span["hi"])
-    grid = entities.withColumn("date", F.explode(days))
-    joined = grid.join(sold.select(key, "date", "daily_sales"), [key, "date"], "left")
-    return with_calendar(joined.withColumn("daily_sales", F.coalesce("daily_sales", F.lit(0)).cast("bigint")))
+    listed = sold.groupBy(key).agg(F.collect_list(F.struct("date", F.col("daily_sales").cast("bigint").alias("y"))).alias("_days"))
+    nothing = F.array().cast("array<struct<date:date,y:bigint>>")
+    joined = _spread(entities, key).join(_spread(listed, key).hint("merge"), key, "left").withColumn("_calendar", F.sequence(span["lo"], span["hi"]))
+    none = F.transform("_calendar", lambda d: F.struct(d.alias("date"), F.lit(0).cast("bigint").alias("y")))
+    grown = joined.select(*entities.columns, F.explode(F.concat(F.coalesce("_days", nothing), none)).alias("_d"))
+    filled = grown.groupBy(*entities.columns, F.col("_d.date").alias("date")).agg(F.coalesce(F.sum("_d.y"), F.lit(0)).cast("bigint").alias("daily_sales"))
+    return with_calendar(filled)
+
+
+@dataclass
+class Demand:
+    """Sold days of the series, written once, and the calendar's ends: parts of the dense panel are built from these."""
+
+    sold: DataFrame  # (key, date, daily_sales)
+    entities: DataFrame  # (key, category)
+    key: str
+    first: dt.date | None
+    last: dt.date | None
+
+    def cells(self, first: dt.date | None, last: dt.date | None) -> DataFrame:
+        """(key, category, date) of every series on the days from first to last."""
+        if first is None or last is None or first > last:
+            return self.entities.withColumn("date", F.lit(None).cast("date")).where("false")
+        return _spread(self.entities, self.key).withColumn("date", F.explode(F.sequence(F.lit(first), F.lit(last))))
+
+    def since(self, days: int) -> dt.date | None:
+        """The first of the last `days` days of the calendar."""
+        return None if self.last is None else max(self.first, self.last - dt.timedelta(days - 1))
+
+    def tail(self, days: int) -> DataFrame:
+        """The dense panel's last `days` days."""
+        start = self.since(days)
+        sold = self.sold.select(self.key, "date", "daily_sales")
+        joined = self.cells(start, self.last).join(sold if start is None else sold.where(F.col("date") >= F.lit(start)), [self.key, "date"], "left")
+        return with_calendar(joined.withColumn("daily_sales", F.coalesce("daily_sales", F.lit(0)).cast("bigint")))
+
+    def sample(self, n: int, last: dt.date) -> DataFrame:
+        """At most n cells up to a day, by a hash of series and day; the panel is not built for it."""
+        return uniform_sample(self.cells(self.first, last), n, [self.key, "date"])
+
+    def rows_at(self, cells: DataFrame, fill: str = "series") -> DataFrame:
+        """The supervised rows of some cells: a cell asks for its own day and the seven before, by one join on (key, date)."""
+        asked = cells.withColumn("_back", F.explode(F.sequence(F.lit(0), F.lit(7)))).withColumn("_day", F.date_sub("date", F.col("_back")))
+        sold = self.sold.select(F.col(self.key).alias("_key"), F.col("date").alias("_day"), "daily_sales")
+        met = asked.join(sold, (asked[self.key] == sold["_key"]) & (asked["_day"] == sold["_day"]), "left")
+        y = F.coalesce("daily_sales", F.lit(0))
+        frame = met.groupBy(*cells.columns).agg(
+            F.sum(F.when(F.col("_back") == 0, y).otherwise(0)).cast("bigint").alias("daily_sales"),
+            F.sum(F.when(F.col("_back") == 7, y).otherwise(0)).cast("double").alias("_week_ago"),
+            F.sum(F.when(F.col("_back") > 0, y).otherwise(0)).cast("double").alias("_week"),
+        )
+        before = F.datediff("date", F.lit(self.first))
+        if fill == "series":
+            days = (self.last - self.first).days + 1 if self.last else 1
+            means = self.sold.groupBy(self.key).agg((F.sum("daily_sales") / days).alias("_mean"))
+            frame = frame.join(means, self.key, "left")
+            spare = F.coalesce("_mean", F.lit(0.0))
+        else:
+            spare = F.when(before > 0, F.col("_week") / before).otherwise(0.0)
+        lag_7 = F.when(before >= 7, F.col("_week_ago")).otherwise(spare)
+        return with_calendar(frame).withColumns({
+            "lag_7": lag_7,
+            "rolling_7": F.when(before > 0, F.col("_week") / F.least(F.lit(7), before)).otherwise(lag_7),
+            **_day_columns(F.lit(self.first)),
+        }).drop("_week", "_week_ago", "_mean")
+
+
+def demand(sold: DataFrame, entities: DataFrame, key: str = "series_id") -> Demand:
+    sold = stage(sold.where(F.col("date").isNotNull()), "demand-sold")
+    span = sold.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+    return Demand(sold, entities, key, span["lo"], span["hi"])
 
 
 def lags(panel: DataFrame, key: str = "series_id", fill: str = "series") -> DataFrame:
@@ -55,14 +132,14 @@ def lags(panel: DataFrame, key: str = "series_id", fill: str = "series") -> Data
     )
 
 
-def supervised(panel: DataFrame, key: str = "series_id", fill: str = "series") -> DataFrame:
-    start = panel.agg(F.min("date")).scalar()
-    frame = lags(panel, key, fill).withColumns({
-        "day_index": F.datediff("date", start),
-        "day_of_week": F.weekday("date"),
-        "month": F.month("date"),
-    })
-    return frame.dropna(subset=[*K.FORECAST_NUMERIC, "category", "daily_sales"])
+def _day_columns(start: Column) -> dict[str, Column]:
+    return {"day_index": F.datediff("date", start), "day_of_week": F.weekday("date"), "month": F.month("date")}
+
+
+def supervised(panel: DataFrame, key: str = "series_id", fill: str = "series", start: dt.date | None = None) -> DataFrame:
+    """start: the calendar's first day, if known; else the panel is run once more for it."""
+    first = panel.agg(F.min("date")).scalar() if start is None else F.lit(start)
+    return lags(panel, key, fill).withColumns(_day_columns(first)).dropna(subset=[*K.FORECAST_NUMERIC, "category", "daily_sales"])
 
 
 def holdout(frame: DataFrame, days: int = K.HOLDOUT_DAYS) -> tuple[DataFrame, DataFrame]:
@@ -82,10 +159,9 @@ def errors(scored: DataFrame, actual: str = "daily_sales", predicted: str = "pre
     )
 
 
-def seasonal_naive(panel: DataFrame, key: str = "series_id", days: int = K.HOLDOUT_DAYS) -> DataFrame:
-    """Score of predicting the value seven days back, on the holdout."""
-    _, test = holdout(supervised(panel, key), days)
-    out = errors(test, predicted="lag_7")
+def seasonal_naive(series: Demand, days: int = K.HOLDOUT_DAYS) -> DataFrame:
+    """Score of predicting the value seven days back, on the holdout; no other day of the calendar is looked at."""
+    out = errors(series.rows_at(series.cells(series.since(days), series.last)), predicted="lag_7")
     return out.select(
         F.col("mae").alias("baseline_mae"), F.col("rmse").alias("baseline_rmse"), F.col("wape").alias("baseline_wape")
     )
@@ -93,7 +169,7 @@ def seasonal_naive(panel: DataFrame, key: str = "series_id", days: int = K.HOLDO
 
 def fit_demand_model(frame: DataFrame, kind: str = "gbt", trees: int = 20, seed: int = 42, key: str = "series_id") -> PipelineModel:
     """One global model over all series, fitted on at most FITTED_ROWS of their rows."""
-    frame = stage(frame.select(key, "date", *K.FORECAST_NUMERIC, "category", "daily_sales"), "demand-frame")
+    frame = frame.select(key, "date", *K.FORECAST_NUMERIC, "category", "daily_sales")
     frame = stage(uniform_sample(frame, FITTED_ROWS, [key, "date"]), "demand-train")
     if kind == "gbt":
         learner = GBTRegressor(labelCol="daily_sales", maxIter=trees, maxDepth=5, stepSize=0.1, seed=seed)
@@ -107,23 +183,29 @@ def fit_demand_model(frame: DataFrame, kind: str = "gbt", trees: int = 20, seed:
     ]).fit(frame)
 
 
-def evaluate_model(panel: DataFrame, key: str = "series_id", days: int = K.HOLDOUT_DAYS, **fit) -> DataFrame:
-    """Fit on the past, score on the holdout; lags are filled from the past only."""
-    train, test = holdout(stage(supervised(panel, key, fill="past"), "demand-frame"), days)
-    return errors(fit_demand_model(train, key=key, **fit).transform(test))
+def fit_series(series: Demand, last: dt.date | None = None, fill: str = "series", **fit) -> PipelineModel:
+    """The global model of all days up to `last`: the sampled cells are chosen first, and only their rows are built."""
+    cells = series.sample(FITTED_ROWS, last or series.last)
+    return fit_demand_model(series.rows_at(cells, fill), key=series.key, **fit)
+
+
+def scored_holdout(series: Demand, days: int = K.HOLDOUT_DAYS, **fit) -> DataFrame:
+    """Fit on the past, predict the last `days` days; lags are filled from the past only."""
+    start = series.since(days)
+    model = fit_series(series, start - dt.timedelta(1), "past", **fit)
+    return model.transform(series.rows_at(series.cells(start, series.last), "past"))
+
+
+def evaluate_model(series: Demand, days: int = K.HOLDOUT_DAYS, **fit) -> DataFrame:
+    return errors(scored_holdout(series, days, **fit))
 
 
 def recent_history(panel: DataFrame, key: str = "series_id", n: int = 14) -> DataFrame:
-    """The last `n` values of every series as one array, oldest first."""
-    newest = Window.partitionBy(key).orderBy(F.desc("date"))
-    tail = panel.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") <= n)
-    return tail.groupBy(key).agg(
-        F.max("category").alias("category"),
-        F.max("date").alias("last_date"),
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("date", F.col("daily_sales").cast("double").alias("y")))), lambda r: r["y"]
-        ).alias("history"),
-    )
+    """The last `n` values of every series as one array, oldest first. The panel's last `n` days are enough."""
+    days = F.array_sort(F.collect_list(F.struct("date", F.col("daily_sales").cast("double").alias("y"))))
+    listed = panel.groupBy(key).agg(F.max("category").alias("category"), F.max("date").alias("last_date"), days.alias("_days"))
+    tail = F.slice("_days", -F.least(F.lit(n), F.size("_days")), F.lit(n))
+    return listed.select(key, "category", "last_date", F.transform(tail, lambda r: r["y"]).alias("history"))
 
 
 def _mean(values: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions import constants as K
 from ..functions import scalars as S
+from ..session import stage
 from .ordering import number_rows, quantiles, running_total
 
 
@@ -33,7 +34,19 @@ def weighted_sample(rows: DataFrame, n: int, weight, key: list[str], seed: str =
 
 
 def uniform_sample(rows: DataFrame, n: int, key: list[str], seed: str = "42") -> DataFrame:
-    return _first(rows.withColumn("_k", S.hash32(*key, seed=seed)), n, "_k", ["_k", *key], largest=False).drop("_k")
+    """The n rows with the smallest hash of their key.
+
+    The hash is uniform, so the value below which a little more than n rows lie is known from their number; the rows pass once more,
+    and tasks send few of them to the sort.
+    """
+    keyed = rows.withColumn("_k", S.hash32(*key, seed=seed))
+    total = rows.count()
+    if total > 2 * n:
+        cut = int((n + 8 * n**0.5 + 50) / total * (1 << 32))
+        few = stage(keyed.where(F.col("_k") <= cut).orderBy("_k", *key).limit(n), "sample")
+        if few.count() == n:  # else keys repeat so often that their hashes are not uniform
+            return few.drop("_k")
+    return keyed.orderBy("_k", *key).limit(n).drop("_k")
 
 
 def _first(rows: DataFrame, n: int, score: str, order: list, largest: bool) -> DataFrame:

@@ -305,7 +305,7 @@ def _(r: Retail):
         "catalog_coverage", evaluation.catalog_coverage(recs, r.catalog).scalar())
     impact = pricing.business_impact(pricing.choose(pricing.bounds(pricing.contexts(pricing.impact_contexts(r.frame, r.catalog)))))
     return kpis.model_metrics({
-        "two_stage_recommender": shares, "dynamic_pricing": impact, "demand_forecaster": forecast.seasonal_naive(r.series()),
+        "two_stage_recommender": shares, "dynamic_pricing": impact, "demand_forecaster": forecast.seasonal_naive(r.sold_series()),
     })
 
 
@@ -423,7 +423,7 @@ def _(r: Retail):
   SELECT category, date, sum(predicted_demand) AS predicted_demand FROM ({recursive}) GROUP BY ALL""".format(
     recursive="SELECT * FROM t_product_forecast"))
 def _(r: Retail):
-    return forecast.forecast_by_category(forecast.forecast_naive(r.demand, 30, "product_id"), key="product_id")
+    return forecast.forecast_by_category(forecast.forecast_naive(r.recent_demand, 30, "product_id"), key="product_id")
 
 
 @register("top_7", "user_id product_category product_id", f"""
@@ -466,7 +466,7 @@ def _(r: Retail):
 
 @register("smp_2", "event_id event_type", f"SELECT event_id, event_type FROM t_clean ORDER BY {hash32('event_id', seed='42')}, event_id LIMIT 25000")
 def _(r: Retail):
-    return sampling.uniform_sample(r.clean, 25000, ["event_id"])
+    return sampling.uniform_sample(r.clean_table, 25000, ["event_id"])
 
 
 @register("spl_1", "event_id is_test", """

@@ -87,6 +87,12 @@ class Retail:
     def segments(self) -> DataFrame:
         return segments.segments(self.users)
 
+    def sold_series(self, level: str = "category") -> forecast.Demand:
+        """Sold days per category or product, and the series they belong to."""
+        sold = bindings.sales_series(self.spark, self.folder, level)
+        key = "product_id" if level == "product" else level
+        return forecast.demand(sold, self.catalog.select(F.col(key).alias("series_id"), "category").distinct())
+
     def series(self, level: str = "category") -> DataFrame:
         """Dense daily sales panel per category or product."""
         sold = bindings.sales_series(self.spark, self.folder, level)
@@ -94,6 +100,12 @@ class Retail:
         entities = self.catalog.select(F.col(key).alias("series_id"), "category").distinct()
         return forecast.dense_panel(sold, entities)
 
+    @cached_property
+    def recent_demand(self) -> DataFrame:
+        """The last 14 days of `demand`, built from the sold days."""
+        entities = self.catalog.select("product_id", "category")
+        return forecast.demand(features.purchase_days(self.clean_table), entities, "product_id").tail(14)
+
     @cached_property
     def items(self) -> DataFrame:
         return bindings.item_vectors(self.spark, self.folder)

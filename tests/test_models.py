@@ -76,6 +76,26 @@ def test_lags_and_short_history(spark):
     assert short[0].predicted_demand == 6.0
 
 
+@pytest.mark.parametrize("fill", ["series", "past"])
+def test_rows_of_cells_equal_those_of_the_whole_panel(spark, fill):
+    day = [dt.date(2024, 1, 1) + dt.timedelta(k) for k in range(40)]
+    sold = [("a", day[k], k % 5 + 1) for k in range(0, 40, 3)] + [("b", day[k], 7) for k in (0, 1, 2, 9, 38)]
+    series = forecast.demand(
+        spark.createDataFrame(sold, "series_id string, date date, daily_sales bigint"), spark.createDataFrame([("a", "c"), ("b", "c"), ("z", "d")], "series_id string, category string"))
+    whole = forecast.supervised(forecast.dense_panel(series.sold, series.entities), fill=fill)
+    columns = sorted(whole.columns)
+    want = sorted(tuple(r) for r in whole.select(columns).collect())
+    cells = series.cells(series.first, series.last)
+    assert len(want) == 3 * 40 and sorted(tuple(r) for r in series.rows_at(cells, fill).select(columns).collect()) == want
+    last = sorted(tuple(r) for r in series.tail(14).select("series_id", "date", "daily_sales").collect())
+    assert last == sorted(tuple(r) for r in whole.where(F.col("date") > day[25]).select("series_id", "date", "daily_sales").collect())
+
+
+def test_holdout_score_reads_28_days_of_no_panel(spark, folder):
+    plan = forecast.seasonal_naive(Retail(spark, folder).sold_series("product"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "sequence" in plan
+
+
 def test_dense_panel_fills_gaps(spark):
     sold = spark.createDataFrame([("a", dt.date(2024, 1, 1), 2), ("a", dt.date(2024, 1, 4), 1)], "series_id string, date date, daily_sales bigint")
     who = spark.createDataFrame([("a", "c"), ("b", "c")], "series_id string, category string")
@@ -90,7 +110,8 @@ def test_model_forecast_is_recursive_and_not_negative(spark):
     got = forecast.forecast_model(p, model, 9, dt.date(2024, 1, 1), cut_every=4).orderBy("date").collect()
     assert len(got) == 9 and all(r.predicted_demand >= 0 for r in got)
     assert got[0].date == dt.date(2024, 1, 1) + dt.timedelta(days=56)
-    scores = forecast.evaluate_model(p, trees=5).first()
+    series = forecast.demand(p.select("series_id", "date", "daily_sales"), p.select("series_id", "category").distinct())
+    scores = forecast.evaluate_model(series, trees=5).first()
     assert scores.mae >= 0 and scores.rmse >= scores.mae
 
 
