@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark import cloudpickle
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -123,10 +125,13 @@ def _score(users: DataFrame, items: DataFrame, k: int, broadcast_bytes: int) ->
 
 
 def retrieve(
-    users: DataFrame, items: DataFrame, seen: DataFrame | None, k: int = 100, broadcast_bytes: int = BROADCAST_BYTES
+    users: DataFrame, items: DataFrame, seen: DataFrame | None, k: int = 100, broadcast_bytes: int = BROADCAST_BYTES,
+    score: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Exact top-k unseen items per user by dot product, scores min-max scaled over all items.
 
+    score: another way to score users (with n_seen) than to scan all items, such as that of item_index.
+
     Seen items are removed, not demoted. Output: user_id, product_id, raw_score, retrieval_score, rank.
     """
     if seen is not None:
@@ -136,7 +141,8 @@ def retrieve(
         users = users.withColumn("n_seen", F.coalesce("n_seen", F.lit(0)))
     else:
         users = users.withColumn("n_seen", F.lit(0))
-    scored = _score(users.select("user_id", "vector", "n_seen"), items, k, broadcast_bytes)
+    asked = users.select("user_id", "vector", "n_seen")
+    scored = _score(asked, items, k, broadcast_bytes) if score is None else score(asked)
     limits = scored.groupBy("user_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     unseen = scored.drop("lo", "hi")
     if seen is not None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import scalars as S
-from ..operators import evaluation, features, forecast, kpis, monitor, pricing, ranking, retrieval, sampling, segments
+from ..operators import evaluation, features, forecast, item_index, kpis, monitor, pricing, ranking, retrieval, sampling, segments
 from ..operators.store import FeatureStore, FeatureTable, freshness, latest_per_entity
 from ..session import fresh_path, stage
 from . import summary
@@ -62,6 +62,14 @@ def _(r: Retail):
     return r.candidates(r.clean_table)
 
 
+@register("rec_5", "user_id product_id retrieval_score:5 rank:i", "SELECT * FROM t_candidates")
+def _(r: Retail):
+    """The candidates of rec_4, through an index of clustered items."""
+    events = r.clean_table
+    users = retrieval.user_vectors(features.interactions(events), r.items)
+    return item_index.retrieve(users, item_index.build(r.items), features.seen_items(events))
+
+
 def _training(r: Retail, rows: DataFrame, history: DataFrame) -> DataFrame:
     """Labelled rows with features and vectors of all events in `history`."""
     users = retrieval.user_vectors(features.interactions(history), r.items)
