@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import scalars as S
-from ..operators import evaluation, features, forecast, item_index, kpis, monitor, pricing, ranking, retrieval, sampling, segments
+from ..operators import evaluation, features, forecast, item_index, kpis, monitor, pricing, ranking, retrieval, sampling, segments, svd
 from ..operators.store import FeatureStore, FeatureTable, freshness, latest_per_entity
 from ..session import fresh_path, stage
 from . import summary
@@ -40,10 +40,17 @@ def _side(df: DataFrame, key: str, side: str) -> DataFrame:
 
 @register("rec_2", "side id dims:i norm:4")
 def _(r: Retail):
-    users, items = retrieval.fit_factors(features.interactions(r.clean_table))
+    """Unit vectors of the truncated SVD of users and products."""
+    users, items = svd.unit_factors(svd.truncated_svd(features.interactions(r.clean_table), tolerance=1e-4))
     return _side(users, "user_id", "user").unionByName(_side(items, "product_id", "item"))
 
 
+@register("rec_2_values", "component:i singular_value:3")
+def _(r: Retail):
+    found = svd.truncated_svd(features.interactions(r.clean_table), rank=8, spare=24, tolerance=1e-7)
+    return r.spark.createDataFrame([(k + 1, float(v)) for k, v in enumerate(found.values)], "component int, singular_value double")
+
+
 def two_tower(r: Retail, events: DataFrame) -> retrieval.TwoTower:
     content = retrieval.item_content_vectors(retrieval.item_attributes(r.catalog), r.items.select("product_id", "vector"))
     positives = events.select("event_id", "user_id", "product_id", S.training_weight().alias("weight"))
