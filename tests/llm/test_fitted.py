@@ -146,7 +146,7 @@ def test_sample_is_bounded_and_never_held_out(spark):
     texts, toxic, weight = toxicity.sample(docs, labels, per_label=30)
     assert np.bincount(toxic).tolist() == [30, 30]
     able = [i for i in range(300) if zlib.crc32(str(i).encode()) % 5]
-    assert all(int(t.split()[1]) in able for t in texts) and round(weight.sum()) == len(able)
+    assert all(int(t.split()[1]) in able for t in texts.to_pylist()) and round(weight.sum()) == len(able)
 
 
 def test_pipeline_against_brute_force(spark, folder):
