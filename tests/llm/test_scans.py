@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 
@@ -48,12 +49,77 @@ def test_inferred_formats():
     fresh = "sk-" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(20))
     assert b.likelihood(fresh) >= b.least and a.likelihood(fresh) < a.least
     assert a.likelihood("averyordinaryword12") < a.least and len(a.step) < 40
-    assert secret_scan.formats(f"x {fresh} y", [], {"k": b}) == [(2, 2 + len(fresh), fresh)]
-    assert secret_scan.formats(f"x {fresh} y", [(3, 0, 5, "")], {"k": b}) == []
+    alone = secret_scan.Formats({"k": b})
+    assert secret_scan.formats(f"x {fresh} y", [], alone) == [(2, 2 + len(fresh), fresh)]
+    assert secret_scan.formats(f"x {fresh} y", [(3, 0, 5, "")], alone) == []
     # Steps keep their counts through merges: of each state, what goes out and ends adds up.
     assert sum(n for _, n in a.step[0].values()) + a.end[0] > 0
 
 
+def test_unlabelled_credentials_are_found(spark, folder):
+    """New values of a labelled format: long, behind a name, at the end of a sentence, of letters only, short; ordinary words are left alone."""
+    rng = random.Random(5)
+    lower_case, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    letters = lower_case + lower_case.upper()
+    prose = [t for (t,) in spark.read.parquet(f"{folder}/documents.parquet").select("text").collect()]
+    runs = [r for t in prose for r in secret_scan._CANDIDATE.findall(t or "")]
+    ordinary = {r for r in runs if r.isalpha()}
+    for alphabet, n in ((letters + digits, 40), (letters, 40), (lower_case, 40), (letters + digits, 12), (lower_case + digits, 12), (letters + digits, 6)):
+        values = ["".join(rng.choice(alphabet) for _ in range(n)) for _ in range(500)]
+        model = secret_scan.Formats.of({"k": secret_scan.infer(values[:300])}, secret_scan.pairs(runs))
+        for before, after in (("", ""), ("pwd=", ""), ("?sig=", ""), ("", ".")):
+            at = 2 + len(before)
+            found = [secret_scan.formats(f"x {before}{v}{after} y", [], model) == [(at, at + n, v)] for v in values[300:]]
+            assert sum(found) >= 0.9 * len(found), (alphabet, n, before, after)
+        assert sum(secret_scan.likely_part(r, model) is not None for r in ordinary) < 0.02 * len(ordinary)
+
+
+def test_format_spans_against_brute_force(spark, tmp_path):
+    rng = random.Random(9)
+    words = ["credit", "quarter", "meeting.", "the", "report", "follow-up", "x=y", "margins", "ledgers"]
+    rows = []
+    for i in range(150):
+        text = [rng.choice(words) for _ in range(rng.randint(0, 300))]
+        value = "".join(rng.choice("ABCDEFGHJKMNPQ23456789") for _ in range(14))
+        text.insert(rng.randint(0, len(text)), [f"token={value}", f"pin={value}", value + ".", "plain"][i % 4])
+        rows.append((i, " ".join(text)))
+    rows += [(200, None), (201, ""), (202, "=" * 3000), (203, "pin=" * 500)]
+    docs = frame(spark, rows)
+    model = secret_scan.learn(docs.repartition(4))
+    pair, symbols = {}, secret_scan._SYMBOLS
+    for _, t in rows:
+        spans = [(a, b) for a, _, b, _ in secret_scan.base(t or "")]
+        for m in re.finditer(r"[A-Za-z0-9+/_.=-]{6,}", t or ""):
+            if all(b <= m.start() or m.end() <= a for a, b in spans):
+                for two in zip(" " + m[0], m[0] + " "):
+                    pair[two] = pair.get(two, 0) + 1
+
+    prior = 0.5 + secret_scan.RARE * sum(pair.values()) / (len(symbols) + 1)
+
+    def plain(value):
+        p = 1.0
+        for a, b in zip(" " + value, value + " "):
+            p *= ((pair.get((a, b), 0) + prior) / sum(pair.get((a, c), 0) + prior for c in " " + symbols)) ** (1 / (len(value) + 1))
+        return p
+
+    def likely(value):
+        best = max((a.likelihood(value) for a in model.automata.values() if a.likelihood(value) >= a.least), default=None)
+        return len(value) >= 6 and best is not None and math.exp(best) > plain(value)
+
+    got = {r.doc_id: [(f.start, f.end) for f in r.found if f.kind == "format"] for r in secret_scan.scan(docs, model).collect()}
+    for i, t in rows:
+        want, spans = [], [(a, b) for a, _, b, _ in secret_scan.base(t or "")]
+        for m in re.finditer(r"[A-Za-z0-9+/_.=-]{6,}", t or ""):
+            if any(a < m.end() and m.start() < b for a, b in spans):
+                continue
+            name = re.match(r"[A-Za-z_][A-Za-z0-9_.-]*=+", m[0])
+            starts = [m.start()] + ([m.start() + name.end()] if name else [])
+            forms = [(a, b) for a in starts for b in (m.end(), m.start() + len(m[0].rstrip(".")))]
+            want += [f for f in forms if likely(t[slice(*f)])][:1]
+        assert got[i] == want, (i, t)
+    assert sum(map(len, got.values())) >= 70  # a token= value is a base span; two of the other three hold a credential
+
+
 def test_license_phrases_and_notices(spark):
     texts = [
         "Licensed under the Apache License, Version 2.0.", "Released under the MIT License.", "This work is licensed under CC BY-NC 4.0", "the mit the license",
