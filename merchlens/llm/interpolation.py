@@ -6,9 +6,10 @@ from all training documents. The weights come from expectation-maximisation on h
 x ratio of the bigram estimate x ratio of the unigram estimate).
 
 How counts get to the texts: documents are packed into blocks of a few MB. A block asks for each of its distinct words and word pairs once:
-it sends their sorted hashes with its own training counts, in compressed messages, to partitions of the hash range. A partition adds
-up the counts of all blocks and answers every block in the order of its question. So a frequent word costs one entry for each block, and
-no key is larger than the number of blocks. Words have 64-bit hashes, pairs 56-bit ones.
+it sends their sorted hashes with its own training counts, in compressed messages, to those partitions of the hash range that hold any of
+them. So it sends at most as many messages as it has distinct words and pairs, however many partitions there are, and the messages grow
+with the corpus, not with its square. A partition adds up the counts of all blocks and answers every block in the order of its question:
+a frequent word costs one entry for each block, and no key is larger than the number of blocks. Words have 64-bit hashes, pairs 56-bit ones.
 
 A document's tokens are its words, A-Z lower-cased, then one end; the first token's context is the beginning, which has as many
 occurrences as there are ends. Nulls: a null text is empty and has the end only. A row with a null doc_id is scored and never
@@ -31,7 +32,7 @@ from .text import mix, prepare, slices, words_of
 BLOCK_BYTES = 4 << 20
 PER_PARTITION = 1_500_000  # tokens for each partition of the hash range
 HELD = 3  # remainder of the training documents that the weights are learned from
-BUCKETS, BINS = 24, 96  # context frequencies by powers of two; ratios by half powers of two, bin 0: the estimate is 0
+BUCKETS, BINS = 64, 96  # context frequencies by powers of two, up to the largest 64-bit count; ratios by half powers of two, bin 0: the estimate is 0
 _END, _BEGIN = np.uint64(0x6A09E667F3BCC909), np.uint64(0xBB67AE8584CAA73B)
 _CODEC = "zstd"
 
@@ -122,23 +123,25 @@ def _unpack(blob: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(np.uint64).ravel()
 
 
-def _cuts(sorted_hashes: np.ndarray, bits: int, parts: int) -> np.ndarray:
-    return np.searchsorted((sorted_hashes >> np.uint64(bits)).astype(np.uint64), np.arange(parts + 1, dtype=np.uint64))
+def _cells(sorted_hashes: np.ndarray, bits: int, log_parts: int) -> np.ndarray:
+    """Number of the partition of each hash."""
+    return (sorted_hashes >> np.uint64(bits)).astype(np.int64) if log_parts else np.zeros(len(sorted_hashes), np.int64)
 
 
 def questions(packed: DataFrame, log_parts: int) -> DataFrame:
-    """(part, block, and for words and pairs: n, sorted hashes, training counts)."""
+    """(part, block, and for words and pairs: n, sorted hashes, training counts), for the parts that hold some of the block's hashes."""
     def run(batches):
-        parts = 1 << log_parts
         for batch in batches:
             for row in (batch.slice(at, 1).to_pylist()[0] for at in range(batch.num_rows)):
                 size, remains = np.array(row["size"], np.int64), np.array(row["part"])
                 t = tokens_of(size, row["blob"])
                 learned = remains[t.doc] != 2
-                out = {"part": np.arange(parts), "block": np.full(parts, row["block"])}
-                for name, hashes, number, bits in (("w", t.words, t.word, 64 - log_parts), ("p", t.pairs, t.pair, 56 - log_parts)):
+                cells = {"w": _cells(t.words, 64 - log_parts, log_parts), "p": _cells(t.pairs, 56 - log_parts, log_parts)}
+                parts = np.union1d(cells["w"], cells["p"])
+                out = {"part": parts, "block": np.full(len(parts), row["block"])}
+                for name, hashes, number in (("w", t.words, t.word), ("p", t.pairs, t.pair)):
                     count = np.bincount(number[learned], minlength=len(hashes))
-                    cut = _cuts(hashes, bits, parts) if log_parts else np.array([0, len(hashes)])
+                    cut = np.r_[np.searchsorted(cells[name], parts), len(hashes)]
                     out[f"n{name}"] = np.diff(cut)
                     out[f"h{name}"] = [_pack(np.diff(hashes[a:b], prepend=np.uint64(0))) for a, b in zip(cut[:-1], cut[1:])]
                     out[f"c{name}"] = [_pack(count[a:b]) for a, b in zip(cut[:-1], cut[1:])]

@@ -62,7 +62,9 @@ def test_encoding_in_spark(spark, library):
     assert collections.Counter(map(tuple, got)) == want
 
 
-def test_interpolation_against_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("per_partition", [interpolation.PER_PARTITION, 2])  # 2: far more partitions than distinct words
+def test_interpolation_against_brute_force(spark, monkeypatch, per_partition):
+    monkeypatch.setattr(interpolation, "PER_PARTITION", per_partition)
     rng = random.Random(8)
     rows = [(i, " ".join(rng.choice(["the", "a", "Of", "x", "yÉ", "z"]) + rng.choice(["", "", "1"]) for _ in range(rng.randint(0, 40)))) for i in range(120)] + [(500, None)]
     monkeypatch.setattr(interpolation, "BLOCK_BYTES", 600)  # many blocks
@@ -106,6 +108,25 @@ def test_interpolation_against_brute_force(spark, monkeypatch):
     assert {tuple(r[:3]): r[3] for r in weights["table"].tolist()} == dict(want)
 
 
+def test_messages_of_a_block_are_bounded_by_its_words(spark):
+    rows = [(i, f"the of w{i % 50} x{i}") for i in range(400)]
+    packed = interpolation.blocks(frame(spark, rows).repartition(4)).cache()
+    distinct = {}
+    for r in packed.collect():
+        t = interpolation.tokens_of(np.array(r["size"], np.int64), r["blob"])
+        distinct[r["block"]] = len(t.words) + len(t.pairs)
+    for log_parts in (0, 3, 8, 20, 30):
+        asked = interpolation.questions(packed, log_parts).collect()
+        sent = collections.Counter(r["block"] for r in asked)
+        assert set(sent) == set(distinct) and all(n <= min(distinct[b], 1 << log_parts) for b, n in sent.items())
+        assert sum(r["nw"] + r["np"] for r in asked) == sum(distinct.values())
+
+
+def test_frequent_contexts_have_buckets_of_their_own():
+    context = 2 ** np.arange(63, dtype=np.int64)
+    assert interpolation._bucket(np.r_[0, context]).tolist() == list(range(64))
+
+
 def test_weights_by_expectation_maximisation():
     table = np.array([[3, 60, 0, 900], [3, 0, 50, 100], [5, 0, 0, 10]])
     w = interpolation.weigh(table)
