@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ _LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = [*RULES, "format"]
 LEAST = min(least for _, _, least in RULES.values())
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % LEAST)
+_SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*=+")
 #: Symbols rarer than this share of all pairs are followed by nearly any symbol alike: unlabelled credentials don't make their own pairs ordinary.
 RARE = 0.001
@@ -71,8 +73,29 @@ class Automaton:
     least: float = 0.0
 
     def likely(self, value: str) -> bool:
+        """Whether the likelihood reaches `least`; no step raises it, so most words end early."""
+        limit = self.least * (len(value) + 1) - 1e-9
+        s, total = 0, 0.0
+        for c in value:
+            to = self.logs[s].get(c)
+            if to is None:
+                total += _FLOOR
+            else:
+                total += to[1]
+                s = to[0]
+            if total < limit:
+                return False
         return self.likelihood(value) >= self.least
 
+    @cached_property
+    def logs(self) -> list[dict[str, tuple[int, float]]]:
+        """By state and character: next state, log-probability."""
+        seen = [e + sum(n for _, n in step.values()) for step, e in zip(self.step, self.end)]
+        return [
+            {c: (step[k][0], math.log(step[k][1] / n / _SIZE.get(k, 1))) for c in _SYMBOLS if (k := _class(c)) in step}
+            for step, n in zip(self.step, seen)
+        ]
+
     def likelihood(self, value: str) -> float:
         """Log-probability of the value and its end, for each symbol on average. Unseen steps have a floor and stay in the state."""
         s, total = 0, 0.0
@@ -190,7 +213,6 @@ def base(text: str) -> list[tuple[int, int, str, str]]:
     return sorted(out)
 
 
-_SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 _CODES = np.zeros(256, np.int64)  # 0 stands between runs
 _CODES[np.frombuffer(_SYMBOLS.encode(), np.uint8)] = np.arange(1, len(_SYMBOLS) + 1)
 _CODE = {c: i for i, c in enumerate(_SYMBOLS, 1)}
@@ -228,10 +250,9 @@ class Formats:
 
 def likely_part(run: str, model: Formats) -> tuple[int, int] | None:
     """(start, end) in the run of its first form that has a likely format."""
-    bare = len(run.rstrip("."))
-    name = _NAME.match(run)
-    forms = [(0, len(run)), (0, bare)] + ([(name.end(), len(run)), (name.end(), bare)] if name else [])
-    for a, b in dict.fromkeys(forms):
+    ends = [len(run), len(run.rstrip("."))] if run[-1] == "." else [len(run)]
+    name = _NAME.match(run) if "=" in run else None
+    for a, b in [(a, b) for a in ((0, name.end()) if name else (0,)) for b in ends]:
         if b - a >= LEAST and model.holds(run[a:b]):
             return a, b
     return None
