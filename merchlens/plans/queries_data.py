@@ -152,6 +152,20 @@ def _(r: Retail):
     return stream.drain(stream.feedback(_clean_stream(r), served), "feedback-stream")
 
 
+@register("str_4_interval", "event_id user_id product_id rank:i event_type seconds_after:3", f"""
+  SELECT event_id, user_id, product_id, rank, t_clean.event_type, (epoch_us(timestamp) - epoch_us(served_at)) / 1e6 AS seconds_after
+  FROM t_clean JOIN t_train_recommended USING (user_id, product_id)
+    JOIN (SELECT user_id, max(timestamp) AS served_at FROM t_train GROUP BY user_id) USING (user_id)
+  WHERE t_clean.event_type IN ('click', 'purchase') AND timestamp >= served_at AND timestamp <= served_at + INTERVAL {stream.FEEDBACK_HOURS} HOUR""")
+def _(r: Retail):
+    """Lists served after each user's last training event, as a stream, joined with the stream of actions."""
+    train = r.split[0]
+    served_at = train.groupBy("user_id").agg(F.max("timestamp").alias("served_at"))
+    served = r.recommendations(train).select("user_id", "product_id", "rank").join(served_at, "user_id")
+    found = stream.drain(stream.feedback_within(_clean_stream(r), stream.served_log(served)), "feedback-interval")
+    return found.withColumn("seconds_after", (F.unix_micros("timestamp") - F.unix_micros("served_at")) / 1e6)
+
+
 # --- validation and quality ----------------------------------------------------------------------
 
 @register("val_1", "table_name column_name present row_count:i", f"""

@@ -16,6 +16,7 @@ from ..sources.bindings import clickstream_from
 from ..sources.tables import SCHEMAS
 
 WATERMARK = "1 hour"
+FEEDBACK_HOURS = 72  # how long after serving an action counts for the served list
 
 
 def event_stream(spark: SparkSession, folder: str, name: str = "events.parquet", files_per_batch: int = 1) -> DataFrame:
@@ -72,6 +73,30 @@ def feedback(events: DataFrame, served: DataFrame) -> DataFrame:
     )
 
 
+def served_log(served: DataFrame, label: str = "served-log") -> DataFrame:
+    """Append served lists (with `served_at`) to a table and read it as a watermarked stream."""
+    spark = served.sparkSession
+    path = fresh_path(spark, label)
+    served.withColumn("served_at", F.col("served_at").cast("timestamp")).write.parquet(path)
+    schema = spark.read.parquet(path).schema
+    return spark.readStream.schema(schema).parquet(path).withWatermark("served_at", WATERMARK)
+
+
+def feedback_within(events: DataFrame, served: DataFrame, hours: int = FEEDBACK_HOURS) -> DataFrame:
+    """Clicks and purchases on a product served to the same user at most `hours` before; the moment of serving and the last one count.
+
+    With two streams this is an interval join: both sides carry a watermark and the time condition bounds how long a row can still
+    find a partner, so a served list leaves the state `hours` after it fell behind the watermark, and an action as soon as it does.
+    A product served again within the time gives a row for each serving. Nulls match nothing. The same call joins batches.
+    """
+    acted = events.where(F.col("event_type").isin("click", "purchase")).select("event_id", "user_id", "product_id", "event_type", "timestamp")
+    lists = served.select(F.col("user_id").alias("_user"), F.col("product_id").alias("_product"), "rank", "served_at")
+    window = F.expr(f"timestamp >= served_at AND timestamp <= served_at + INTERVAL {hours} HOURS")
+    return acted.join(lists, (F.col("user_id") == F.col("_user")) & (F.col("product_id") == F.col("_product")) & window).select(
+        "event_id", "user_id", "product_id", "rank", "event_type", "served_at", "timestamp"
+    )
+
+
 def drain(stream: DataFrame, label: str) -> DataFrame:
     """Run everything available through an exactly-once Parquet sink and read the result back."""
     spark = stream.sparkSession

@@ -6,6 +6,7 @@ import pytest
 from merchlens.functions import constants as K
 from merchlens.functions import scalars as S
 from merchlens.operators import cleaning, ordering, quality, sampling, sessions
+from merchlens.streaming import clickstream
 from pyspark.sql import functions as F
 
 
@@ -142,3 +143,55 @@ def test_vector_parsing(spark):
 
 def test_event_key_is_fixed():
     assert K.EVENT_KEY == ["user_id", "session_id", "timestamp", "event_type", "product_id"]
+
+
+def test_feedback_joins_two_streams_within_the_time(spark, tmp_path):
+    hours, days, users = 24, 12, 5
+    served, acted = [], []
+    for d in range(days):
+        for u in range(users):
+            shown = at(24 * 60 * d + u)
+            served.append((f"u{u}", f"p{d}", u + 1, shown))
+            # At once, after 3 hours, at the last moment, a minute too late, a minute too early; a view; another user's click.
+            for minutes, kind, user in ((0, "click", u), (180, "purchase", u), (hours * 60, "click", u), (hours * 60 + 1, "click", u),
+                                        (-1, "click", u), (5, "view", u), (7, "click", u + 1)):
+                acted.append((f"{d}-{u}-{minutes}-{kind}", f"u{user}", f"p{d}", kind, shown + dt.timedelta(minutes=minutes)))
+    acted.append(("none", None, "p1", "click", at(1)))
+    lists = spark.createDataFrame(served, "user_id string, product_id string, rank int, served_at timestamp")
+    actions = spark.createDataFrame(acted, "event_id string, user_id string, product_id string, event_type string, timestamp timestamp")
+    for d in range(-1, days + 2):  # one file for each day, in the order of time
+        for name, df, ts in (("served", lists, "served_at"), ("events", actions, "timestamp")):
+            day = df.where((F.col(ts) >= F.lit(at(24 * 60 * d))) & (F.col(ts) < F.lit(at(24 * 60 * (d + 1)))))
+            day.coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+
+    def stream(name, df, ts):
+        return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / name)).withWatermark(ts, clickstream.WATERMARK)
+
+    joined = clickstream.feedback_within(stream("events", actions, "timestamp"), stream("served", lists, "served_at"), hours)
+    query = joined.writeStream.format("memory").queryName("feedback_within").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "state")).start()
+    query.awaitTermination()
+    got = sorted((r.event_id, r.user_id, r.rank) for r in spark.table("feedback_within").collect())
+    batch = sorted((r.event_id, r.user_id, r.rank) for r in clickstream.feedback_within(actions, lists, hours).collect())
+    want = sorted(
+        (e, u, rank) for e, u, p, kind, t in acted if kind != "view" for v, q, rank, s in served
+        if (u, p) == (v, q) and s <= t <= s + dt.timedelta(hours=hours)
+    )
+    assert got == batch == want and len(want) > 3 * days * users
+    # Rows that can no longer find a partner leave the state.
+    held = [sum(o.numRowsTotal for o in p.stateOperators) for p in query.recentProgress if p.stateOperators]
+    assert max(held) > 0 and held[-1] < (len(served) + len(acted)) / 3
+
+
+def test_a_table_is_validated_in_one_pass_and_one_for_each_grouped_rule(spark, tmp_path):
+    rows = [event(str(i), kind="teleport" if i < 2 else "view", price=-1.0 if i == 1 else 1.0, competitor=None if i < 9 else 1.0) for i in range(40)]
+    events(spark, rows).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    found = quality.findings(df, "events").collect()
+    report = quality.report(df, "events")
+    r = report.first()
+    assert (r.row_count, r.warnings, r.errors, r.passed) == (40, *[sum(f.severity == s for f in found) for s in ("warning", "error")], False)
+    assert {"event_type has unexpected value: teleport", "product_price contains values below 0.0"} <= {f.message for f in found}
+    # With a scan of its own only for the allowed values.
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("Relation [") <= 2
+    nothing = quality.report(df.limit(0), "events").first()
+    assert nothing.row_count == 0 and nothing.errors >= 1 and not nothing.passed
