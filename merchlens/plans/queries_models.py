@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import scalars as S
-from ..operators import evaluation, features, forecast, item_index, kpis, monitor, pricing, ranking, retrieval, sampling, segments, svd
+from ..operators import evaluation, features, forecast, item_index, kpis, monitor, pricing, ranking, retrieval, sampling, segments, svd, towers
 from ..operators.store import FeatureStore, FeatureTable, freshness, latest_per_entity
 from ..session import fresh_path, stage
 from . import summary
@@ -64,6 +64,45 @@ def _(r: Retail):
     return retrieval.retrieve(model.users, model.items, features.seen_items(r.clean_table))
 
 
+def _trained_towers(r: Retail, events: DataFrame) -> towers.Towers:
+    content = retrieval.item_content_vectors(retrieval.item_attributes(r.catalog), r.items.select("product_id", "vector"))
+    unit = content.select("product_id", S.l2_normalised("vector").alias("vector"))
+    positives = events.select("event_id", "user_id", "product_id", S.training_weight().alias("weight"))
+    negatives = sampling.negatives(positives, features.seen_items(events), r.catalog)
+    return towers.fit(towers.labelled_pairs(positives, negatives), unit)
+
+
+@register("rec_3_trained", "user_id product_id retrieval_score:5 rank:i")
+def _(r: Retail):
+    """Candidates of the towers trained by gradient descent over rotating blocks."""
+    model = _trained_towers(r, r.clean_table)
+    return retrieval.retrieve(model.users, model.items, features.seen_items(r.clean_table))
+
+
+@register("rec_3_recall", "model users:i recall_20:4 recall_100:4")
+def _(r: Retail):
+    """Mean recall of held-out purchases among 20 and 100 retrieved products, of each factor model fitted on the training window."""
+    train, test = r.split
+    train = stage(train, "recall-train")
+    seen = stage(features.seen_items(train), "recall-seen")
+    wanted = stage(evaluation.relevant_pairs(test).join(seen, ["user_id", "product_id"], "left_anti").join(
+        train.select("user_id").distinct(), "user_id", "left_semi"), "recall-wanted")
+    weighed, trained = two_tower(r, train), _trained_towers(r, train)
+    models = {
+        "svd": svd.unit_factors(svd.truncated_svd(features.interactions(train), tolerance=1e-4)),
+        "weighed_towers": (weighed.users, weighed.items), "trained_towers": (trained.users, trained.items),
+    }
+
+    def measured(name: str, users: DataFrame, items: DataFrame) -> DataFrame:
+        asked = users.join(wanted.select("user_id").distinct(), "user_id", "left_semi")
+        found = stage(retrieval.retrieve(asked, items, seen), f"recall-{name}")
+        both = evaluation.recall(found, wanted, 20).withColumnRenamed("recall", "_20").join(evaluation.recall(found, wanted, 100), "user_id")
+        return both.agg(F.count(F.lit(1)).alias("users"), F.coalesce(F.avg("_20"), F.lit(0.0)).alias("recall_20"), F.coalesce(F.avg("recall"), F.lit(0.0)).alias("recall_100")).select(
+            F.lit(name).alias("model"), "users", "recall_20", "recall_100")
+
+    return reduce(DataFrame.unionByName, [measured(n, *sides) for n, sides in models.items()])
+
+
 @register("rec_4", "user_id product_id retrieval_score:5 rank:i", "SELECT * FROM t_candidates")
 def _(r: Retail):
     return r.candidates(r.clean_table)
