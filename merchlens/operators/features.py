@@ -142,6 +142,21 @@ def product_features(events: DataFrame, catalog: DataFrame) -> DataFrame:
     }).drop("event_inventory", "event_competitor_price")
 
 
+def product_history(events: DataFrame) -> DataFrame:
+    """Versions of a product's counts: after each day with events, all up to that day, valid from the next midnight.
+
+    Events collapse to one row per product and day before the running sums, so those see days, not events.
+    """
+    day = F.col("timestamp").cast("date")
+    daily = events.where("product_id IS NOT NULL AND timestamp IS NOT NULL").groupBy("product_id", day.alias("_day")).agg(
+        F.count_if(F.col("event_type") == "view").alias("views"), F.count_if(F.col("event_type") == "click").alias("clicks"),
+        F.sum(F.col("purchase_label").cast("bigint")).alias("purchases"), F.sum(S.net_price() * F.col("purchase_label")).alias("revenue"))
+    upto = Window.partitionBy("product_id").orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
+    counts = ["views", "clicks", "purchases", "revenue"]
+    out = daily.select("product_id", F.date_add("_day", 1).cast("timestamp_ntz").alias("valid_from"), *[F.sum(c).over(upto).alias(f"{c}_before") for c in counts])
+    return out.withColumn("ctr_before", S.safe_ratio("clicks_before", "views_before")).withColumn("conversion_before", S.safe_ratio("purchases_before", "views_before"))
+
+
 def with_suffix(df: DataFrame, taken: list[str], key: str, suffix: str) -> DataFrame:
     """Rename the columns that the other side already has, so a join keeps both."""
     return df.select(*[F.col(c).alias(c + suffix if c in taken and c != key else c) for c in df.columns])

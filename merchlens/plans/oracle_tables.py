@@ -245,6 +245,15 @@ TABLES = {
       FROM t_raw
       WHERE user_id IS NOT NULL AND session_id IS NOT NULL AND timestamp IS NOT NULL AND event_type IS NOT NULL AND product_id IS NOT NULL
       QUALIFY row_number() OVER (PARTITION BY user_id, session_id, timestamp, event_type, product_id ORDER BY event_id) = 1""",
+    "t_history": """
+      SELECT *, clicks_before / greatest(views_before, 1) AS ctr_before, purchases_before / greatest(views_before, 1) AS conversion_before
+      FROM (SELECT product_id, CAST(day + 1 AS TIMESTAMP) AS valid_from, sum(views) OVER w AS views_before, sum(clicks) OVER w AS clicks_before,
+          sum(purchases) OVER w AS purchases_before, sum(revenue) OVER w AS revenue_before
+        FROM (SELECT product_id, CAST(timestamp AS DATE) AS day, count(*) FILTER (event_type = 'view') AS views,
+            count(*) FILTER (event_type = 'click') AS clicks, sum(purchase_label) AS purchases,
+            sum(product_price * (1 - discount_percentage) * purchase_label) AS revenue
+          FROM t_clean GROUP BY ALL)
+        WINDOW w AS (PARTITION BY product_id ORDER BY day ROWS UNBOUNDED PRECEDING))""",
     "t_sess": """
       SELECT *, 'DS-' || user_id || '-' || CASE WHEN num < 1000 THEN lpad(CAST(num AS VARCHAR), 4, '0') ELSE CAST(num AS VARCHAR) END AS derived_session_id
       FROM (SELECT *, CAST(sum(starts) OVER (PARTITION BY user_id ORDER BY timestamp, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS num

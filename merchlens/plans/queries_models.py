@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import scalars as S
-from ..operators import evaluation, features, forecast, item_index, kpis, monitor, pricing, ranking, retrieval, sampling, segments, svd, towers
+from ..operators import asof, evaluation, features, forecast, item_index, kpis, monitor, pricing, ranking, retrieval, sampling, segments, svd, towers
 from ..operators.store import FeatureStore, FeatureTable, freshness, latest_per_entity
 from ..session import fresh_path, stage
 from . import summary
@@ -523,6 +523,28 @@ def _(r: Retail):
     return store.read("user_features")
 
 
+_HISTORY = "valid_from views_before:i clicks_before:i purchases_before:i revenue_before:4 ctr_before:6 conversion_before:6"
+
+
+@register("fst_1_history", f"product_id {_HISTORY}", "SELECT * FROM t_history")
+def _(r: Retail):
+    """The versions of the product counts, through the store."""
+    store = _store(r)
+    store.materialize([FeatureTable("product_history", features.product_history(r.clean_table), "product_id", "valid_from")])
+    return store.read("product_history")
+
+
+@register("jn_9_as_of", f"event_id product_id purchase_label:i {_HISTORY}", """
+  SELECT event_id, c.product_id, purchase_label, h.* EXCLUDE (product_id)
+  FROM t_clean c ASOF LEFT JOIN t_history h ON c.product_id = h.product_id AND c.timestamp >= h.valid_from""")
+def _(r: Retail):
+    """Labelled events with the product counts as they stood at the event: nothing from its own day or later."""
+    history = features.product_history(r.clean_table)
+    rows = r.clean_table.select("event_id", "product_id", "timestamp", "purchase_label")
+    values = [c for c in history.columns if c not in ("product_id", "valid_from")]
+    return asof.as_of_join(rows, history, "product_id", "timestamp", "valid_from", values, "event_id")
+
+
 @register("fst_2", "product_id event_id discount_percentage:6 demand_score:6", """
   SELECT f.product_id, event_id, f.discount_percentage, demand_score FROM t_frame f JOIN (SELECT event_id, timestamp FROM t_clean) USING (event_id)
   QUALIFY row_number() OVER (PARTITION BY f.product_id ORDER BY timestamp DESC, event_id DESC) = 1""")
