@@ -123,6 +123,19 @@ def _(r: Retail):
     return stream.drain(_clean_stream(r), "clean-stream")
 
 
+@register("str_1_first", "event_id user_id session_id event_type product_id discount_percentage:6 competitor_price:4 dwell_time_seconds:4 page_position:i copies:i", """
+  SELECT c.*, n AS copies FROM t_clean c
+  JOIN (SELECT user_id, session_id, timestamp, event_type, product_id, count(*) AS n FROM t_raw GROUP BY ALL) USING (user_id, session_id, timestamp, event_type, product_id)""")
+def _(r: Retail):
+    """First deliveries that the stream has let go, and those still open at its end from a batch pass."""
+    events = stream.product_events(stream.event_stream(r.spark, r.folder), r.catalog)
+    out, _late = stream.drain_counted(stream.first_deliveries(events), "first-deliveries")
+    closed = out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    counted = r.raw.groupBy(*K.EVENT_KEY).agg(F.count(F.lit(1)).alias("copies"))
+    batch = stream.still_open(r.clean_table.join(counted, K.EVENT_KEY), F.col("timestamp"), r.clean_table)
+    return closed.unionByName(batch)
+
+
 @register("str_2", "user_id session_start session_end events:i purchases:i", """
   SELECT user_id, session_start, session_end, events, purchases FROM t_session_features""")
 def _(r: Retail):

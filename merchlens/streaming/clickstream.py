@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,8 +15,13 @@ from ..operators.cleaning import drop_incomplete, repair
 from ..session import fresh_path
 from ..sources.bindings import clickstream_from
 from ..sources.tables import SCHEMAS
+from . import first_copy
+
+cloudpickle.register_pickle_by_value(first_copy)
 
 WATERMARK = "1 hour"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 FEEDBACK_HOURS = 72  # how long after serving an action counts for the served list
 
 
@@ -38,6 +44,28 @@ def clean_stream(events: DataFrame) -> DataFrame:
     return repair(drop_incomplete(events).dropDuplicatesWithinWatermark(K.EVENT_KEY))
 
 
+def first_deliveries(events: DataFrame, order: str = "event_id") -> DataFrame:
+    """Of each event key the delivery with the smallest `order` (text), once the watermark has passed the event, with the number of `copies`.
+
+    What `clean_stream` leaves to arrival is decided here as in the batch: every copy that is not behind the watermark is compared. A copy
+    behind it is dropped and counted (see `drain_counted`). A delivery without `order` stands behind the others. The result carries no
+    watermark; values are repaired. All copies of one event in a micro-batch are read by one task, a batch of rows at a time.
+    """
+    micros = F.unix_micros("timestamp").alias("event_micros")
+    rest = [f for f in events.schema.fields if f.name not in K.EVENT_KEY]
+    # Names without a leading underscore: the processor's frames would lose others.
+    whole = drop_incomplete(events)
+    keys = [k for k in K.EVENT_KEY if k != "timestamp"]
+    given = whole.select(
+        *keys, micros, "timestamp", F.coalesce(F.col(order).cast("string"), F.lit("\U0010ffff")).alias("copy_order"), F.to_json(F.struct(*[f.name for f in rest])).alias("copy_row"))
+    types = ", ".join(f"{k} {events.schema[k].dataType.simpleString()}" for k in keys)
+    kept = given.groupBy(*keys, "event_micros").transformWithStateInPandas(
+        first_copy.FirstCopy([*keys, "event_micros"]), f"{types}, event_micros bigint, copy_row string, copies bigint", "Append", "EventTime")
+    row = F.from_json("copy_row", T.StructType(rest))
+    back = kept.withColumns({"copy_row": row, "timestamp": F.timestamp_micros("event_micros")})
+    return repair(back.select(*[F.col(c) if c in K.EVENT_KEY else F.col(f"copy_row.{c}").alias(c) for c in events.columns], "copies"))
+
+
 def session_stream(events: DataFrame, gap_minutes: int = K.SESSION_GAP_MINUTES) -> DataFrame:
     """Sessions per user, emitted once the watermark has closed them."""
     window = F.session_window("timestamp", f"{gap_minutes} minutes")
@@ -109,6 +137,27 @@ def drain(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def drain_counted(stream: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """`drain` with the RocksDB state store, and the number of rows that came too late for the state, from the query's own progress."""
+    spark = stream.sparkSession
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        out, state = fresh_path(spark, label), fresh_path(spark, f"{label}-state")
+        query = (
+            stream.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", state)
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+    late = sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+    return spark.read.schema(stream.schema).parquet(out), late
+
+
 def each_batch(stream: DataFrame, handle: Callable[[DataFrame, int], None], label: str) -> None:
     """Hand every micro-batch with its id to `handle`; replays keep the id, so writes can be idempotent."""
     state = fresh_path(stream.sparkSession, f"{label}-state")

@@ -1,0 +1,44 @@
+"""Task-side state of the exact deduplication of a stream: the smallest copy of each key until the watermark has passed it."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+
+class FirstCopy(StatefulProcessor):
+    """Keys end with the event time in microseconds; input rows have `copy_order` (text) and `copy_row` (text). Output: key, copy_row, copies.
+
+    A key's timer stands at its own event time. Until the watermark gets there every copy is compared with the smallest one so far; then
+    that one goes out and the state is cleared. Copies that come later are behind the watermark and never reach the state.
+    """
+
+    def __init__(self, names: list[str]) -> None:
+        self.names = names
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.best = handle.getValueState("best", "first string, row string, copies bigint")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        known = self.best.get() if self.best.exists() else None
+        first, row, copies = known if known is not None else (None, None, 0)
+        if known is None:
+            self.handle.registerTimer(int(key[-1]) // 1000 + 1)
+        for batch in rows:
+            if not len(batch):
+                continue
+            at = batch["copy_order"].to_numpy().argmin()
+            own = (str(batch["copy_order"].iloc[at]), str(batch["copy_row"].iloc[at]))
+            if first is None or own < (first, row):
+                first, row = own
+            copies += len(batch)
+        self.best.update((first, row, copies))
+        return iter(())
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        first, row, copies = self.best.get()
+        self.best.clear()
+        yield pd.DataFrame({n: [v] for n, v in zip(self.names, key)} | {"copy_row": [row], "copies": [int(copies)]})
