@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import scalars as S
-from ..operators import asof, evaluation, features, forecast, item_index, kpis, monitor, pricing, ranking, retrieval, sampling, segments, svd, towers
+from ..operators import asof, daily_sketch, evaluation, features, forecast, item_index, kpis, monitor, pricing, ranking, retrieval, sampling, segments, svd, towers
 from ..operators.store import FeatureStore, FeatureTable, freshness, latest_per_entity
 from ..session import fresh_path, stage
 from . import summary
@@ -613,6 +614,32 @@ def _(r: Retail):
     return monitor.numeric_psi(_windows(r, r.clean_table), "dwell_time_seconds")
 
 
+_SKETCH_CUT = dt.date(2024, 1, 16)
+_BUCKET = f"""CASE WHEN dwell_time_seconds < {daily_sketch.SMALLEST} THEN 0
+  ELSE CAST(ceil(ln(dwell_time_seconds) / CAST({daily_sketch.RATIO!r} AS DOUBLE)) AS BIGINT) + {daily_sketch.OFFSET} END"""
+_SKETCHED = f"(SELECT {_BUCKET} AS b, timestamp >= TIMESTAMP '{_SKETCH_CUT}' AS cur FROM t_clean)"
+_SKETCH_EDGES = "list_value(" + ", ".join(
+    f"(SELECT min(b) FROM (SELECT b, sum(count(*)) OVER (ORDER BY b) AS upto, sum(count(*)) OVER () AS n FROM {_SKETCHED} WHERE NOT cur GROUP BY b) WHERE upto > ({i} * (n - 1)) // 10)"
+    for i in range(1, 10)) + ")"
+
+
+def _daily_sketches(r: Retail) -> daily_sketch.DailySketches:
+    """Two updates, as on two days: the second reads only what the first has not."""
+    sketches = daily_sketch.DailySketches(r.spark, fresh_path(r.spark, "sketches"), ["dwell_time_seconds", "product_price"], ["user_id", "product_id"])
+    sketches.update(r.clean_table, _SKETCH_CUT)
+    newest = r.clean_table.agg(F.max(F.col("timestamp").cast("date")).alias("d")).first().d
+    sketches.update(r.clean_table, max(_SKETCH_CUT, newest or _SKETCH_CUT) + dt.timedelta(days=1))
+    return sketches
+
+
+@register("mon_2_daily", "psi:6", f"""
+  WITH e AS (SELECT {_SKETCH_EDGES} AS edges)
+  {_psi_sql("len(list_filter(edges, lambda e: b > e))", f"{_SKETCHED}, e")}""")
+def _(r: Retail):
+    """The drift of mon_2 from sketches of days, within their accuracy; stored days are not read again."""
+    return _daily_sketches(r).psi("dwell_time_seconds", _SKETCH_CUT)
+
+
 @register("mon_3", "feature psi:6 drift_status overall", f"""
   SELECT *, CASE WHEN psi > 0.28 THEN 'watch' ELSE 'stable' END AS drift_status,
     CASE WHEN bool_or(psi > 0.28) OVER () THEN 'watch' ELSE 'stable' END AS overall
