@@ -92,6 +92,24 @@ def category_performance(events: DataFrame) -> DataFrame:
     )
 
 
+def day_and_category(events: DataFrame, catalog: DataFrame) -> DataFrame:
+    """The numbers of `revenue_trend` and `category_performance`, and of all events, in one pass: a row per day, per category and in total.
+
+    level says which; a missing category is a category. Grouping sets are counted on the map side, so each task sends one row for each
+    day, category and total it has seen, and there is one exchange of those.
+    """
+    kind = F.col("event_type")
+    rows = with_margin(events, catalog).select(
+        F.col("timestamp").cast("date").alias("date"), "product_category", "purchase_label", net_revenue().alias("_net"), (net_revenue() * F.col("margin")).alias("_margin"),
+        (kind == "view").cast("bigint").alias("_view"), (kind == "click").cast("bigint").alias("_click"))
+    sets = rows.groupingSets([["date"], ["product_category"], []], "date", "product_category").agg(
+        F.grouping_id().alias("_level"), F.sum("_net").alias("revenue"), F.sum("_margin").alias("margin"),
+        F.sum(F.col("purchase_label").cast("bigint")).alias("purchases"), F.sum("_view").alias("views"),
+        S.safe_ratio(F.sum("_click"), F.sum("_view")).alias("ctr"), F.avg("purchase_label").alias("purchase_rate"))
+    level = F.element_at(F.create_map(F.lit(1), F.lit("day"), F.lit(2), F.lit("category"), F.lit(3), F.lit("total")), F.col("_level").cast("int"))
+    return sets.withColumn("level", level).drop("_level")
+
+
 def category_sales(lines: DataFrame, catalog: DataFrame) -> DataFrame:
     """Category revenue over all order lines, pre-aggregated per product before the catalog join."""
     per_product = lines.groupBy(F.col("l_partkey").alias("product_id")).agg(

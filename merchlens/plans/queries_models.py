@@ -554,6 +554,17 @@ def _(r: Retail):
     return latest_per_entity(frame, "product_id", ["timestamp", "event_id"])
 
 
+@register("fst_2_bucketed", "product_id category views:i current_price:4 margin_pricing:4 inventory_level_inventory:4 reorder_point:i", """
+  SELECT p.product_id, category, views, current_price, q.margin AS margin_pricing, i.inventory_level AS inventory_level_inventory, reorder_point
+  FROM t_products p LEFT JOIN t_pricing q ON q.product_id = p.product_id LEFT JOIN t_inventory i ON i.product_id = p.product_id""")
+def _(r: Retail):
+    """Three feature tables of the products, bucketed alike, joined where they lie."""
+    store = _store(r)
+    products, pricing_table, stock = (
+        store.materialize_bucketed(FeatureTable(n, df, "product_id"), 8) for n, df in (("products", r.products), ("pricing", r.pricing), ("inventory", r.inventory)))
+    return features.with_inventory(features.with_pricing(products, pricing_table), stock)
+
+
 @register("fst_3", "name version entity row_count:i feature_count:i", """
   SELECT 'user_features' AS name, 'v1' AS version, 'user_id' AS entity, (SELECT count(*) FROM t_users) AS row_count, 20 AS feature_count
   UNION ALL SELECT 'product_features', 'v1', 'product_id', (SELECT count(*) FROM t_products), 22

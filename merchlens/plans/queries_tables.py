@@ -249,6 +249,17 @@ def _(r: Retail):
     return kpis.category_performance(r.clean).orderBy(F.desc("revenue"))
 
 
+@register("agg_14_15", "level date product_category revenue:4 margin:4 purchases:i views:i ctr:6 purchase_rate:6", """
+  SELECT CASE grouping_id(date, product_category) WHEN 1 THEN 'day' WHEN 2 THEN 'category' ELSE 'total' END AS level, date, product_category,
+    sum(net) AS revenue, sum(net * coalesce(margin, 0.35)) AS margin, sum(purchase_label) AS purchases, count(*) FILTER (event_type = 'view') AS views,
+    count(*) FILTER (event_type = 'click') / greatest(count(*) FILTER (event_type = 'view'), 1) AS ctr, avg(purchase_label) AS purchase_rate
+  FROM (SELECT CAST(timestamp AS DATE) AS date, product_category, product_price * (1 - discount_percentage) * purchase_label AS net, m.margin, purchase_label, event_type
+    FROM t_clean c LEFT JOIN (SELECT product_id, margin FROM t_catalog) m ON m.product_id = c.product_id)
+  GROUP BY GROUPING SETS ((date), (product_category), ())""")
+def _(r: Retail):
+    return kpis.day_and_category(r.clean, r.catalog)
+
+
 @register("agg_15_sales", "product_category revenue:4 margin:4 units:2 purchases:i return_rate:6", """
   SELECT product_category, sum(product_price * (1 - discount_percentage)) AS revenue, sum(product_price * (1 - discount_percentage) * margin) AS margin,
     sum(quantity) AS units, count(*) AS purchases, count(*) FILTER (l_returnflag = 'R') / count(*) AS return_rate
