@@ -355,12 +355,12 @@ def lagged_sql(panel: str, key: str) -> str:
 
 @register("win_5", "series_id date lag_7:4", lagged_sql("t_product_panel", "series_id"))
 def _(r: Retail):
-    return forecast.lags(r.series("product"))
+    return forecast.lags(r.dense_series("product"))
 
 
 @register("win_6", "series_id date rolling_7:4", lagged_sql("t_product_panel", "series_id"))
 def _(r: Retail):
-    return forecast.lags(r.series("product"))
+    return forecast.lags(r.dense_series("product"))
 
 
 @register("win_7", "user_id product_category score:4",
@@ -490,7 +490,7 @@ def _(r: Retail):
 @register("spl_2", "series_id date is_test", """
   SELECT series_id, date, date > (SELECT max(date) - 21 FROM t_product_panel) AS is_test FROM t_product_panel""")
 def _(r: Retail):
-    train, test = forecast.holdout(r.series("product"))
+    train, test = forecast.holdout(r.dense_series("product"))
     return train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
 
 
