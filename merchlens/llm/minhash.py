@@ -8,10 +8,10 @@ of these ids and of their fingerprints; components join the numbers, as two text
 band) no pairs of all members are made:
 1. Every member is paired with the bucket's smallest id. Pairs whose signatures allow the threshold are checked on the full sets; the
    links give components.
-2. Where a bucket still holds several components, its members are dealt to blocks of bounded size with their sets, and members outside the
-   bucket's largest component meet every block. Pairs of different components whose signatures allow the threshold are checked
-   on the full sets right there, in the first band that they share, and only links that join two components come out. So no link
-   that matters is lost, whatever the bucket's size, and no pairs are written.
+2. Where a bucket still holds several components, its members are dealt to blocks of bounded size, and members outside the
+   bucket's largest component meet every block. Members with a partner of another component whose signature allows the threshold, in the
+   first band that both share, stay; these get their sets, and the pairs are checked on the full sets in the same blocks. Only links that join
+   two components come out. So no link that matters is lost, whatever the bucket's size, and no pairs are written.
 The signature check keeps pairs whose agreement is at least 0.66, five standard deviations below the threshold.
 
 Nulls: a null text has no words. Documents without words are linked with nothing. A row without doc_id is linked with nothing and kept. Rows that share a
@@ -169,29 +169,20 @@ def _crossing(buckets: DataFrame, sketches: DataFrame, sets: DataFrame, comps: D
     columns = ["bucket", "i", "j", "single", "asks", "id", "component"]
     # In a bucket of a single block one row does for both sides.
     dealt = home.withColumn("asks", F.col("single") & F.col("minor")).select(*columns).unionByName(asking.where("not single").select(*columns))
-    full = dealt.join(sketches.select("id", "sketch", "bands"), "id").join(sets, "id")
+    sketched = dealt.join(sketches.select("id", F.col("n").alias("size"), "sketch", "bands"), "id")
+    likely = stage(sketched.groupBy("bucket", "i", "j").applyInArrow(_marked(threshold), sketched.schema), "minhash-likely")
 
     def run(table: pa.Table) -> pa.Table:
-        asks = table.column("asks").to_numpy()
+        block = _Block(table, threshold)
         ids, component = table.column("id").to_pylist(), table.column("component").to_pylist()
-        here = np.flatnonzero(asks)
-        there = np.arange(len(asks)) if table.column("single")[0].as_py() else np.flatnonzero(~asks)
-        sketch = _sketches(table.column("sketch"))
-        band = np.array([np.asarray(x.values) for x in table.column("bands")]).reshape(len(ids), BANDS)
-        bucket = table.column("bucket")[0].as_py()
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles")]
-        size = np.array([len(x) for x in sets])
+        size = block.size
         parent = {c: c for c in component}
         root = np.array(component)
         a, b = [], []
-        for at in here.tolist():
+        for at in block.here.tolist():
             own = _root(parent, component[at])
-            differ = there[root[there] != own]
-            small, large = np.minimum(size[differ], size[at]), np.maximum(size[differ], size[at])
-            differ = differ[100 * small >= threshold * large]
-            differ = differ[(sketch[differ] == sketch[at]).mean(axis=1) >= LIKELY]
-            shared = band[differ] == band[at]  # in the first band that both share, and nowhere else
-            differ = differ[band[at][shared.argmax(axis=1)] == bucket]
+            differ = block.likely(at, block.there[root[block.there] != own])
             for low in range(0, len(differ), 256):
                 some = differ[low : low + 256]
                 pool = np.concatenate([sets[x] for x in some])
@@ -206,7 +197,42 @@ def _crossing(buckets: DataFrame, sketches: DataFrame, sets: DataFrame, comps: D
                         b.append(max(ids[at], ids[x]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return full.groupBy("bucket", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct()
+    wanted = sets.join(likely.select("id").distinct(), "id", "left_semi")
+    return likely.join(wanted, "id").groupBy("bucket", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct()
+
+
+class _Block:
+    """The members of a block that ask (here) and that are asked (there), with what their signatures allow."""
+
+    def __init__(self, table: pa.Table, threshold: int) -> None:
+        asks = table.column("asks").to_numpy()
+        self.here = np.flatnonzero(asks)
+        self.there = np.arange(len(asks)) if table.column("single")[0].as_py() else np.flatnonzero(~asks)
+        self.sketch = _sketches(table.column("sketch"))
+        self.band = np.array([np.asarray(x.values) for x in table.column("bands")]).reshape(len(asks), BANDS)
+        self.bucket, self.size, self.threshold = table.column("bucket")[0].as_py(), table.column("size").to_numpy(), threshold
+
+    def likely(self, at: int, others: np.ndarray) -> np.ndarray:
+        """Those that the sizes and signatures allow, in the first band that both share, and nowhere else."""
+        small, large = np.minimum(self.size[others], self.size[at]), np.maximum(self.size[others], self.size[at])
+        others = others[100 * small >= self.threshold * large]
+        others = others[(self.sketch[others] == self.sketch[at]).mean(axis=1) >= LIKELY]
+        shared = self.band[others] == self.band[at]
+        return others[self.band[at][shared.argmax(axis=1)] == self.bucket]
+
+
+def _marked(threshold: int):
+    """The members of a block that have a likely partner of another component there; only these need their sets."""
+    def run(table: pa.Table) -> pa.Table:
+        block, component = _Block(table, threshold), table.column("component").to_numpy()
+        keep = np.zeros(table.num_rows, bool)
+        for at in block.here.tolist():
+            found = block.likely(at, block.there[component[block.there] != component[at]])
+            if len(found):
+                keep[at] = keep[found] = True
+        return table.filter(pa.array(keep))
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80) -> DataFrame:

@@ -178,3 +178,22 @@ def test_huge_texts_are_hashed_in_parts(spark, monkeypatch):
             of.setdefault(key(t), []).append(i)
         assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["keep_id"], r["group_size"]) for r in got) == sorted((i is None, i or 0, min(j for j in of[key(t)] if j is not None), len(of[key(t)])) for i, t in rows)
         assert sum(r["kept"] for r in got) == len(of)
+
+
+def test_only_members_with_a_likely_partner_need_their_sets():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    sketch = rng.integers(0, 256, (6, minhash.HASHES), dtype=np.uint8)
+    bands = np.tile(np.arange(minhash.BANDS), (6, 1)) + 1000 * np.arange(6)[:, None]
+    bands[:, 7] = 77  # the bucket, the first band that members share
+    sketch[4], sketch[3] = sketch[1], sketch[2]
+    bands[[2, 3], 0] = 5  # these two share an earlier band, so another bucket has them
+    table = pa.table({
+        "bucket": [77] * 6, "i": [0] * 6, "j": [0] * 6, "single": [True] * 6, "asks": [False] + [True] * 5, "id": list(range(6)), "component": list(range(6)),
+        "size": [100] * 6, "sketch": [x.tobytes() for x in sketch], "bands": bands.tolist(),
+    })
+    assert minhash._marked(80)(table).column("id").to_pylist() == [1, 4]
+    same = table.set_column(table.column_names.index("component"), "component", pa.array([1] * 6))
+    assert minhash._marked(80)(same).num_rows == 0
