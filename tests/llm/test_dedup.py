@@ -197,3 +197,25 @@ def test_only_members_with_a_likely_partner_need_their_sets():
     assert minhash._marked(80)(table).column("id").to_pylist() == [1, 4]
     same = table.set_column(table.column_names.index("component"), "component", pa.array([1] * 6))
     assert minhash._marked(80)(same).num_rows == 0
+
+
+def test_only_rows_that_meet_another_reach_the_joins(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(30))) for i in range(300)]
+    same = [f"v{k}" for k in range(80)]
+    rows += [(500, " ".join(same)), (501, " ".join([*same, "end"])), (502, " ".join(["start", *same]))]
+    left = []
+
+    def counted(some, wanted, *keys, perhaps=minhash._perhaps):
+        out = perhaps(some, wanted, *keys)
+        asked = {tuple(r) for r in wanted.select(*keys).collect()}
+        kept = {tuple(r) for r in out.select(*keys).collect()}
+        assert asked <= kept and out.columns == some.columns
+        left.append((len(asked), len(kept), some.count()))
+        return out
+
+    monkeypatch.setattr(minhash, "_perhaps", counted)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame(spark, rows), words=2).collect()}
+    assert {got[500], got[501], got[502]} == {500} and len(left) == 2
+    assert all(asked == 3 and kept < 10 and every == 303 for asked, kept, every in left)
+    none = minhash._perhaps(frame(spark, rows), frame(spark, rows).limit(0), "doc_id")
+    assert none.count() == 0
