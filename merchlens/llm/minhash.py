@@ -28,13 +28,12 @@ from pyspark.sql import functions as F
 from ..operators.ordering import number_rows
 from ..session import stage
 from .components import components
-from .text import mix, prepare, rolling, slices, text_key, words_of
+from .text import mix, perhaps, prepare, rolling, slices, text_key, words_of
 
 ROWS, BANDS = 5, 40
 HASHES = ROWS * BANDS
 LIKELY = 0.66  # least agreement of signatures that goes to the exact check
 BLOCK, BLOCK_BYTES = 4096, 16 << 20  # members of a bucket, and bytes of their sets, that are compared at once
-SPOTS = 1 << 26  # bits of the broadcast filter (8 MB), whatever the number of rows
 _RULE = np.random.default_rng(97)
 _A = (_RULE.integers(0, 1 << 31, HASHES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
 _B = _RULE.integers(0, 1 << 32, HASHES, dtype=np.uint32)
@@ -94,16 +93,6 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("doc_id", text_key().alias("text_key"), "text").mapInArrow(run, f"doc_id {kind}, text_key bigint, n_shingles bigint, fp1 bigint, fp2 bigint, sketch binary, bands array<bigint>")
 
 
-def _perhaps(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
-    """The rows whose keys may be among the wanted ones: none of these is lost, and few others are left for the join that follows to shuffle."""
-    spot = F.pmod(F.xxhash64(*keys), F.lit(SPOTS)) + 1
-    marked = wanted.select(F.bitmap_bucket_number(spot).alias("_part"), F.bitmap_bit_position(spot).alias("_at")).repartition("_part")
-    bits = marked.groupBy("_part").agg(F.bitmap_construct_agg("_at").alias("_bits"))
-    at = F.bitmap_bit_position(spot)
-    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return rows.join(F.broadcast(bits), F.bitmap_bucket_number(spot) == F.col("_part")).where(F.getbit(byte, (at % 8).cast("int")) == 1).select(*rows.columns)
-
-
 def _full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(id, shingles binary) of the wanted classes (id, doc_id, text_key)."""
     def run(batches):
@@ -112,7 +101,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "shingles"])
 
     keyed = docs.select("doc_id", text_key().alias("text_key"), "text")
-    texts = _perhaps(keyed, wanted, "doc_id", "text_key").join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"]).select("id", "text")
+    texts = perhaps(keyed, wanted, "doc_id", "text_key").join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"]).select("id", "text")
     return texts.mapInArrow(run, "id bigint, shingles binary")
 
 
@@ -264,7 +253,7 @@ def judged(docs: DataFrame, words: int = 5, threshold: int = 80) -> DataFrame:
     shared = members.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("bucket", "first")
     buckets = stage(members.join(shared, "bucket").distinct(), "minhash-buckets")  # a row may be there twice
     ids = stage(classes.select("id", "doc_id", "text_key").join(buckets.select("id").distinct(), "id", "left_semi"), "minhash-ids")
-    met = _perhaps(prints, ids, "doc_id", "text_key").join(ids, ["doc_id", "text_key"])
+    met = perhaps(prints, ids, "doc_id", "text_key").join(ids, ["doc_id", "text_key"])
     sketches = stage(met.select("id", F.col("n_shingles").alias("n"), "sketch", "bands").dropDuplicates(["id"]), "minhash-sketches")
     sets = stage(_full_sets(docs, ids, words), "minhash-sets")
     pairs = buckets.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()

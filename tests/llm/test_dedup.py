@@ -205,7 +205,7 @@ def test_only_rows_that_meet_another_reach_the_joins(spark, monkeypatch):
     rows += [(500, " ".join(same)), (501, " ".join([*same, "end"])), (502, " ".join(["start", *same]))]
     left = []
 
-    def counted(some, wanted, *keys, perhaps=minhash._perhaps):
+    def counted(some, wanted, *keys, perhaps=minhash.perhaps):
         out = perhaps(some, wanted, *keys)
         asked = {tuple(r) for r in wanted.select(*keys).collect()}
         kept = {tuple(r) for r in out.select(*keys).collect()}
@@ -213,9 +213,9 @@ def test_only_rows_that_meet_another_reach_the_joins(spark, monkeypatch):
         left.append((len(asked), len(kept), some.count()))
         return out
 
-    monkeypatch.setattr(minhash, "_perhaps", counted)
+    monkeypatch.setattr(minhash, "perhaps", counted)
     got = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame(spark, rows), words=2).collect()}
     assert {got[500], got[501], got[502]} == {500} and len(left) == 2
     assert all(asked == 3 and kept < 10 and every == 303 for asked, kept, every in left)
-    none = minhash._perhaps(frame(spark, rows), frame(spark, rows).limit(0), "doc_id")
+    none = minhash.perhaps(frame(spark, rows), frame(spark, rows).limit(0), "doc_id")
     assert none.count() == 0

@@ -170,6 +170,37 @@ def test_sample_is_bounded_and_never_held_out(spark):
     assert all(int(t.split()[1]) in able for t in texts.to_pylist()) and round(weight.sum()) == len(able)
 
 
+def test_all_labelled_rows_are_learned_from(spark):
+    """The words that tell are few in the sample's rows, and one of them stands in texts too long for it."""
+    texts, toxic = planted(1, 1500)
+    toxic = np.where(np.arange(1500) % 4 == 0, 1, toxic)
+    texts = [t + " zorgle" * (i % 4 == 0) + " the an on" * 40 * (i % 2 == 0) for i, t in enumerate(texts)]
+    docs = frame(spark, list(enumerate(texts)))
+    labels = spark.createDataFrame([(i, 1, int(y)) for i, y in enumerate(toxic)], "doc_id bigint, quality int, toxic int")
+    model = toxicity.train(docs, labels, per_label=25, longest=600)
+    held = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 5 == 0]
+    got = toxicity.logits(model, pa.array([texts[i] for i in held]))[0] >= 0
+    assert (got == toxic[held]).mean() > 0.95
+    lone = toxicity.logits(model, pa.array(["the an on thing the ti zorgle", "the an on thing the ti"]))[0]
+    assert lone[0] > 0 > lone[1]
+    again = toxicity.train(docs, labels, per_label=25, longest=600)
+    assert (again.table == model.table).all() and (again.thresholds == model.thresholds).all()
+    # Rows that all fit the sample are fitted as before.
+    few, marks = docs.where("doc_id < 100"), labels.where("doc_id < 100")
+    one, two = toxicity.train(few, marks), toxicity.fit(*toxicity.sample(few, marks))
+    assert (one.table == two.table).all() and (one.thresholds == two.thresholds).all()
+
+
+def test_thresholds_count_every_row_set_apart(spark, monkeypatch):
+    counted = []
+    monkeypatch.setattr(toxicity, "_best_threshold", lambda logit, toxic, weight, best=toxicity._best_threshold: counted.append(weight.sum()) or best(logit, toxic, weight))
+    texts, toxic = planted(2, 600)
+    docs = frame(spark, list(enumerate(texts)))
+    toxicity.train(docs, spark.createDataFrame([(i, 1, int(y)) for i, y in enumerate(toxic)], "doc_id bigint, quality int, toxic int"), per_label=20)
+    apart = docs.where(~toxicity.held_out() & toxicity._apart()).count()
+    assert counted[0] == apart > 50
+
+
 def test_pipeline_against_brute_force(spark, folder):
     """Every decision again, outside Spark, on the classifier's own scores."""
     import re
