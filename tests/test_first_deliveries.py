@@ -58,3 +58,11 @@ def test_an_event_that_nobody_closes_stays_in_the_state(spark, tmp_path):
     out, late = clickstream.drain_counted(clickstream.first_deliveries(stream_of(spark, tmp_path, [[row("a", 0)], [row("b", 30)]])), "open-test")
     assert out.count() == 0 and late == 0
     assert out.where(F.col("copies") > 0).columns[-1] == "copies"
+
+
+def test_every_late_copy_is_counted_and_nothing_runs_in_python(spark, tmp_path):
+    batches = [[row("a", 0)], [row("e", 300)], [row("f", 310)], [row("1", 0), row("2", 0), row("3", 0)], [row("g", 900)], [row("h", 901)]]
+    stream = clickstream.first_deliveries(stream_of(spark, tmp_path, batches))
+    assert "Pandas" not in stream._jdf.queryExecution().analyzed().toString()
+    out, late = clickstream.drain_counted(stream, "late-test")
+    assert late == 3 and {r.event_id: r.copies for r in out.collect()} == {"a": 1, "e": 1, "f": 1}
