@@ -62,7 +62,7 @@ def _of_open_documents(positions: DataFrame) -> DataFrame:
 
 
 def _doubled(documents: DataFrame, step: int) -> DataFrame:
-    """One round: groups of equal ranks are split by the rank `step` lines further on."""
+    """One round: groups of equal ranks are split by the rank `step` lines further on. `was` tells the positions that were open before it."""
     here = documents.select(*_DOC, "at", F.explode("at").alias("p"))
     after = F.get(F.col("at"), F.col("p.n") + step)["r"]
     pairs = here.select(*_DOC, "p.n", "p.r", "p.open", F.coalesce(after, F.lit(-1)).alias("s"))
@@ -71,8 +71,8 @@ def _doubled(documents: DataFrame, step: int) -> DataFrame:
     blocked = counted.withColumn("block", F.floor(F.col("s") / (1 << _BLOCKS)))
     ranked = running_total(blocked, ["r"], "block", ["s"], F.col("c"), "upto")
     ranks = ranked.select("r", "s", (F.col("r") + F.col("upto") - F.col("c")).alias("to"), ((F.col("c") > 1) & (F.col("s") >= 0)).alias("still"))
-    moved = moving.join(ranks, ["r", "s"]).select(*_DOC, "n", F.col("to").alias("r"), F.col("still").alias("open"))
-    return moved.unionByName(pairs.where("not open").select(*_DOC, "n", "r", "open"))
+    moved = moving.join(ranks, ["r", "s"]).select(*_DOC, "n", F.col("to").alias("r"), F.col("still").alias("open"), F.lit(True).alias("was"))
+    return moved.unionByName(pairs.where("not open").select(*_DOC, "n", "r", "open", F.lit(False).alias("was")))
 
 
 def suffix_ranks(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
@@ -86,8 +86,9 @@ def suffix_ranks(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     while not documents.isEmpty():
         levels.append(opened(documents))
         moved = stage(_doubled(documents, step), "line-moved")
-        # What was open before the round and is settled by it has its final rank; a position settles once.
-        settled = moved.where("not open").join(levels[-1].select(*_DOC, "n"), [*_DOC, "n"], "left_semi").select(*_DOC, "n", "r")
+        # What was open before the round and is settled by it has its final rank; a position settles once. Told by a column, not by a join:
+        # the joins of all rounds would run at once, with a job and a thread of the driver for each side.
+        settled = moved.where("was and not open").select(*_DOC, "n", "r")
         final = settled if final is None else final.unionByName(settled)
         documents = stage(_of_open_documents(moved), "line-ranks")
         step *= 2

@@ -219,3 +219,13 @@ def test_only_rows_that_meet_another_reach_the_joins(spark, monkeypatch):
     assert all(asked == 3 and kept < 10 and every == 303 for asked, kept, every in left)
     none = minhash.perhaps(frame(spark, rows), frame(spark, rows).limit(0), "doc_id")
     assert none.count() == 0
+
+
+def test_settled_positions_are_told_without_joins(spark):
+    rows = [(i, "a\nb\nc\nd\ne\na\nb\nc") for i in range(3)] + [(7, "a\nb\nx"), (8, "a\nb\nc\ny"), (9, "z")]
+    final, levels = line_dedup.suffix_ranks(frame(spark, rows))
+    assert len(levels) > 2 and "Join" not in final._jdf.queryExecution().analyzed().toString()
+    suffixes = {(i, n): t.split("\n")[n:] for i, t in rows for n in range(t.count("\n") + 1)}
+    ranked = {(r.o, r.n): r.r for r in final.collect()}
+    assert set(ranked) == {p for p, s in suffixes.items() if s[0] in "abcde"}  # each settles once
+    assert all((ranked[p] == ranked[q]) == (suffixes[p] == suffixes[q]) for p in ranked for q in ranked)
