@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
 ROWS_PER_BATCH, BYTES_PER_BATCH = 256, 16 << 20
-SPOTS = 1 << 26  # bits of the broadcast filter (8 MB), whatever the number of rows
+SPOTS = 1 << 26  # most bits of the broadcast filter (8 MB), whatever the number of rows
+SPOTS_PER_ROW = 64  # bits of a smaller filter for each wanted row
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
@@ -43,9 +44,17 @@ def text_key(column: str = "text") -> Column:
     return F.xxhash64(F.lit(1), F.col(column))
 
 
-def perhaps(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
-    """The rows whose keys may be among the wanted ones: none of these is lost, and few others are left for the join that follows to shuffle."""
-    spot = F.pmod(F.xxhash64(*keys), F.lit(SPOTS)) + 1
+def spots(n: int) -> int:
+    """Bits of the filter for n rows: a power of 2, whole parts of 2^15 bits, at most SPOTS."""
+    return min(SPOTS, 1 << max(15, (n * SPOTS_PER_ROW - 1).bit_length()))
+
+
+def perhaps(rows: DataFrame, wanted: DataFrame, *keys: str, bits: int | None = None) -> DataFrame:
+    """The rows whose keys may be among the wanted ones: none of these is lost, and few others are left for the join that follows to shuffle.
+
+    wanted: a written table, as its rows are counted unless the filter's bits are given. Few rows make a small filter: the driver holds it several times over.
+    """
+    spot = F.pmod(F.xxhash64(*keys), F.lit(spots(wanted.count()) if bits is None else bits)) + 1
     marked = wanted.select(F.bitmap_bucket_number(spot).alias("_part"), F.bitmap_bit_position(spot).alias("_at")).repartition("_part")
     bits = marked.groupBy("_part").agg(F.bitmap_construct_agg("_at").alias("_bits"))
     at = F.bitmap_bit_position(spot)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stage
-from .text import Words, mix, perhaps, prepare, separators, slices, span_hash, words_of
+from .text import SPOTS, Words, mix, perhaps, prepare, separators, slices, span_hash, words_of
 
 LETTERS = separators((0x00, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
 BEGINNINGS = (2, 3, 4, 5, 6, 7, 8)
@@ -314,7 +314,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(text, toxic, apart) of all labelled rows that are not held out, whole texts of any length. apart: the fifth that only sets thresholds."""
     marks = labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(~held_out())
-    rows = perhaps(own, marks, "doc_id").join(marks, "doc_id")
+    rows = perhaps(own, marks, "doc_id", bits=SPOTS).join(marks, "doc_id")
     return rows.select("doc_id", "text", "toxic", _apart().alias("apart")).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "text").drop("doc_id")
 
 

@@ -229,3 +229,16 @@ def test_settled_positions_are_told_without_joins(spark):
     ranked = {(r.o, r.n): r.r for r in final.collect()}
     assert set(ranked) == {p for p, s in suffixes.items() if s[0] in "abcde"}  # each settles once
     assert all((ranked[p] == ranked[q]) == (suffixes[p] == suffixes[q]) for p in ranked for q in ranked)
+
+
+def test_few_rows_make_a_small_filter(spark, tmp_path):
+    from merchlens.llm import text
+
+    assert [text.spots(n) for n in (0, 1, 512, 513, 1 << 20, 1 << 40)] == [1 << 15, 1 << 15, 1 << 15, 1 << 16, 1 << 26, 1 << 26]
+    rows = [(i, f"text {i}") for i in range(2000)] + [(None, "no id")]
+    docs = frame(spark, rows)
+    docs.where("doc_id % 2 = 0").select("doc_id").write.parquet(f"{tmp_path}/wanted")
+    wanted = spark.read.parquet(f"{tmp_path}/wanted")
+    few = text.perhaps(docs, wanted, "doc_id")
+    assert {r.doc_id for r in few.collect()} >= set(range(0, 2000, 2)) and few.count() < 1100
+    assert "65536" in few._jdf.queryExecution().analyzed().toString()  # 1,000 rows: 2^16 bits, not 2^26
